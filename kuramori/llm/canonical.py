@@ -92,8 +92,8 @@ class Matcher:
             best = {c for s, e, c in spans if e - s == longest}
             if len(best) == 1 and longest >= 3 and longest / len(core) >= 0.5:
                 return best.pop(), "mention", longest / len(core)
-        bag = tokens(core)
-        scored = sorted(((similarity(bag, b), code) for k, b, code in self.bags if abs(len(k) - len(core)) <= 0.6 * len(core)), reverse=True)
+        forms = {k: tokens(k) for k in (key, core)}  # an ending that looks like decoration may belong to the name
+        scored = sorted(((max(similarity(f, b) for f in forms.values()), code) for _, b, code in self.bags), reverse=True)
         if scored and scored[0][0] >= SIMILARITY and not any(s == scored[0][0] and c != scored[0][1] for s, c in scored[1:8]):
             return scored[0][1], "token_set", scored[0][0]
         return UNMATCHED, "none", scored[0][0] if scored else 0.0

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kuramori.llm import canonical, uniform
+from kuramori.llm import canonical, mixing, mojibake, packing, tokens, uniform
 from kuramori.llm.sql import SQL
-from kuramori.session import table
+from kuramori.operators.dedupe import one_per_key
+from kuramori.session import cut, table
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -41,9 +42,56 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_changes(spark, folder).select("table_name", "row_key", "field").distinct()
 
 
+def _documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Documents, one row per key."""
+    return one_per_key(table(spark, folder, "documents").select("doc_id", *columns), ["doc_id"])
+
+
+def _sized(spark: SparkSession, folder: str) -> DataFrame:
+    """Document sizes in tokens, counted once and written: later stages read the few numbers, not the texts."""
+    return cut(tokens.sized(_documents(spark, folder, "text", "source"), "doc_id", "text", ["source"]))
+
+
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in one container of each kind, with the container's fill."""
+    return packing.fill_containers(_sized(spark, folder), table(spark, folder, "pack_capacity"), "doc_id")
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers used and space left unused, per kind."""
+    return packing.fill_report(p8_packed(spark, folder))
+
+
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of the mix and how often each is used."""
+    return mixing.balanced_mix(_sized(spark, folder), table(spark, folder, "mix_targets"), "doc_id")
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and actual share of each source."""
+    sized, targets = _sized(spark, folder), table(spark, folder, "mix_targets")
+    return mixing.mix_report(cut(mixing.balanced_mix(sized, targets, "doc_id")), sized, targets)
+
+
+def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged documents with the restored text and the chain of readings that was undone."""
+    return mojibake.restored_documents(_documents(spark, folder, "text", "lang"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents damaged by a wrong reading, wholly or in part."""
+    return p10_restored(spark, folder).select("doc_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
     "p7_found": p7_found,
     "p7_changes": p7_changes,
+    "p8_packed": p8_packed,
+    "p8_report": p8_report,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
 }
