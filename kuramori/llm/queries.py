@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kuramori.llm import canonical, mixing, mojibake, packing, tokens, uniform
+from kuramori.llm import address, canonical, mixing, mojibake, names, packing, tokens, uniform
 from kuramori.llm.sql import SQL
 from kuramori.operators.dedupe import one_per_key
 from kuramori.session import cut, table
@@ -31,6 +31,38 @@ def p1_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return m.groupBy("raw_value").agg(F.count_distinct("obs_id").alias("observations"), F.array_join(F.array_sort(F.collect_set("source_field")), ";").alias("fields"), F.max("match.score").alias("nearest"))
 
 
+def _kind_entries(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    return canonical.reference_entries(table(spark, folder, "heritage_type_ref"), "heritage_type_major_code", ["heritage_type_major_ja"], ["aliases"])
+
+
+def p3_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """(field, key, entity) of every listing, record and owner text with a readable name."""
+    kinds = _kind_entries(spark, folder)
+    listings, records = table(spark, folder, "museum_location_review"), table(spark, folder, "records")
+    found = names.profiles(listings, "facility_name", "museum_id", "facility_name", "municipality_code", kinds)
+    found = found.union(names.profiles(records, "name", "record_uid", "name", "municipality_code", kinds))
+    return names.resolve(found.union(names.profiles(records, "owner", "owner", "owner", None, kinds)))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of listings, records and owner texts that mean the same facility, property or owner."""
+    return address.pairs_within(cut(p3_entities(spark, folder)), ["field", "entity"], "key").select("field", "key_a", "key_b")
+
+
+def p4_places(spark: SparkSession, folder: str) -> DataFrame:
+    """(key, place) of every listing and record with a readable address."""
+    towns = address.gazetteer_rows(table(spark, folder, "town_master"))
+    listings = table(spark, folder, "museum_location_review").select("museum_id", "address_raw", "address_normalized", "municipality_code", "postal_code").distinct()
+    records = table(spark, folder, "records").filter("address is not null and address <> ''").select("record_uid", "address", "address_detail", "municipality_code").distinct()
+    found = address.parsed(listings, "museum_id", ["address_raw", "address_normalized"], None, "municipality_code", "postal_code", towns)
+    return address.places(found.union(address.parsed(records, "record_uid", ["address"], "address_detail", "municipality_code", None, towns)))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of listings and records with the same postal address."""
+    return address.pairs_within(cut(p4_places(spark, folder)), ["place"], "key").select("key_a", "key_b").distinct()
+
+
 def p7_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Values that had to change, with their consistent form."""
     records = uniform.changed_values(table(spark, folder, "records"), "record_uid", ["name", "address"], "records")
@@ -86,6 +118,10 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
+    "p3_found": p3_found,
+    "p3_entities": p3_entities,
+    "p4_found": p4_found,
+    "p4_places": p4_places,
     "p7_found": p7_found,
     "p7_changes": p7_changes,
     "p8_packed": p8_packed,
