@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kuramori.llm.address import municipality_code
@@ -63,8 +64,16 @@ Profile = tuple[str, str, list[str], list[str]]  # strict part, core, blocking k
 
 
 def leave_one_out(text: str) -> set[str]:
-    """The text and the text with each character left out; longer texts that differ by one slip share one of these."""
-    return {text} | ({text[:i] + text[i + 1 :] for i in range(len(text))} if len(text) >= 4 else set())
+    """The text and the text with each character left out, also without doubled letters; longer texts one slip apart share one."""
+    out = set()
+    for t in (text, re.sub(r"(.)\1", r"\1", text)):
+        out |= {t} | ({t[:i] + t[i + 1 :] for i in range(len(t))} if len(t) >= 4 else set())
+    return out
+
+
+def leave_out(text: str, n: int) -> set[str]:
+    """The text with any ``n`` characters left out."""
+    return {"".join(c) for c in combinations(text, max(0, len(text) - n))}
 
 
 def _squeezed(text: str) -> str:
@@ -106,8 +115,8 @@ def facility_profile(text: str, city: str, _kinds: object = None) -> Profile | N
         return None
     strict = f"{city}|{kind}|{branch.group() if branch else ''}"
     if len(core) <= 3:
-        ends = ["P"] if contracted or link else ["S", "P"]
-        return strict, core, [f"A{core}"], [f"?{e}{core}" for e in ends]
+        ends = ["P", "S"] if link else ["S", "P"]
+        return strict, core, [f"A{core}"], [f"?{e}{core}{rank}" for rank, e in enumerate(ends)]
     return strict, core, [f"C{k}" for k in sorted(leave_one_out(core))], [f"!P{core[:3]}", f"!S{core[-3:]}"]
 
 
@@ -152,11 +161,11 @@ class PropertyKinds:
     def __init__(self, entries: list[tuple[str, str]]) -> None:
         self.automaton, self.canonical = ahocorasick.Automaton(), {}
         for code, name in entries:
-            key = folded(name)
-            if key:
+            if key := folded(name):
                 self.canonical.setdefault(code, key)
-                if key not in self.automaton:
-                    self.automaton.add_word(key, (len(key), code))
+                for k in {key, _squeezed(key)}:
+                    if k not in self.automaton:
+                        self.automaton.add_word(k, (len(k), code))
         if len(self.automaton):
             self.automaton.make_automaton()
 
@@ -205,29 +214,46 @@ def property_profile(text: str, city: str, kinds: PropertyKinds) -> Profile | No
         if 2 <= len(thing) <= 5:
             low = lambda t, n: {t} | {t[:i] + t[i + 1 :] for i in range(len(t))} if len(t) > n else {t}
             keys |= {f"T{hit[2]}|{a}|{b}" for a in low(site, 3) for b in low(thing, 2)}
+            keys |= {f"U{hit[2]}|{a}|{thing}" for a in leave_out(site, 2)} | {f"V{hit[2]}|{site}|{b}" for b in leave_out(thing, 2)}
     return strict, "".join(sorted(rest)) + "|" + kind, sorted(keys), initials
 
 
+def place_cells(lon: str, lat: str, cell_deg: float = 0.002) -> Column:
+    """Names of the grid cells around a place: two places much closer than a cell share at least one. Null for no place."""
+    x, y = F.col(lon) / cell_deg, F.col(lat) / cell_deg
+    cells = [F.concat_ws(":", F.floor(x + dx).cast("string"), F.floor(y + dy).cast("string"), F.lit(f"{i}{j}")) for i, dx in enumerate((0.0, 0.5)) for j, dy in enumerate((0.0, 0.5))]
+    return F.when(F.coalesce(F.col(lon).between(120, 155) & F.col(lat).between(20, 50), F.lit(False)), F.array(*cells))
+
+
 PROFILES: dict[str, Callable] = {"facility_name": facility_profile, "owner": owner_profile, "name": property_profile}
 
 
-def profiles(df: DataFrame, field: str, key: str, text: str, code: str | None, kind_entries: list[tuple[str, str]]) -> DataFrame:
-    """(field, key, node, strict, core, keys, initials) of every text with a profile; no shuffle."""
-    cols = [F.col(key).cast("string").alias("key"), F.col(text).alias("text"), (F.col(code) if code else F.lit(None).cast("string")).alias("code")]
+def supported_keys(core: str, evidence: list[str] | None) -> list[str]:
+    """Looser keys (two slips, or one in a shortened name), valid only together with a common place."""
+    loose = leave_out(re.sub(r"(.)\1", r"\1", core), 2) if len(core) >= 5 else leave_out(core, 1)
+    loose |= {core[-3:], *leave_out(core[-3:], 1)} if len(core) >= 3 else set()
+    return [f"L{e}|{k}" for e in ([] if evidence is None else evidence) for k in sorted(loose) if len(k) >= 2]
+
+
+def profiles(df: DataFrame, field: str, key: str, text: str, code: str | None, kind_entries: list[tuple[str, str]], evidence: str | None = None) -> DataFrame:
+    """(field, key, node, strict, core, keys, initials) of every text with a profile; no shuffle. ``evidence`` is an array of places
+    (grid cells) of the row: rows with a common one may differ by a second slip."""
+    cols = [(F.col(evidence) if evidence else F.lit(None).cast("array<string>")).alias("evidence"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"), (F.col(code) if code else F.lit(None).cast("string")).alias("code")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kinds, known = PropertyKinds(kind_entries), {}
         read = PROFILES[field]
         for pdf in batches:
             out = []
-            for k, t, c in zip(pdf["key"], pdf["text"], pdf["code"]):
+            for k, t, c, places in zip(pdf["key"], pdf["text"], pdf["code"], pdf["evidence"]):
                 at = (t, c)
                 if at not in known:
                     if len(known) > 50_000:
                         known.clear()
                     known[at] = read(t, municipality_code(c), kinds)
                 if p := known[at]:
-                    out.append((k, *p))
+                    more = supported_keys(p[1], places) if places is not None and len(places) else []
+                    out.append((k, p[0], p[1], p[2] + more, p[3]))
             yield pd.DataFrame(out, columns=["key", "strict", "core", "keys", "initials"])
 
     rows = df.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(*cols).distinct()
@@ -244,16 +270,16 @@ def _stars(keyed: DataFrame) -> DataFrame:
 def resolve(profile: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """(field, key, entity): equal entity means the same facility, property or owner."""
     profile = cut(profile)
-    nodes = profile.groupBy("node").agg(F.first("field").alias("field"), F.first("strict").alias("strict"), F.first("keys").alias("keys"), F.first("initials").alias("initials"))
-    keyed = nodes.select("node", "field", "strict", F.explode("keys").alias("key")).select("node", F.xxhash64("field", "strict", "key").alias("k"))
+    nodes = profile.groupBy("node").agg(F.first("field").alias("field"), F.first("strict").alias("strict"), F.first("initials").alias("initials"))
+    keyed = profile.select("node", "field", "strict", F.explode("keys").alias("key")).distinct().select("node", F.xxhash64("field", "strict", "key").alias("k"))
     links = connected_components(_stars(keyed), "node", "a")
     entity = cut(nodes.join(links, "node", "left").select("node", F.coalesce("component", "node").alias("entity"), "field", "strict", "initials"))
     for _ in range(max_rounds):
-        marks = entity.select("entity", F.explode("initials").alias("i"), "field", "strict").withColumn("k", F.xxhash64("field", "strict", F.substring("i", 2, 100))).withColumn("asks", F.col("i").startswith("?"))
+        marks = entity.select("entity", F.explode("initials").alias("i"), "field", "strict").withColumn("k", F.xxhash64("field", "strict", F.regexp_replace(F.substring("i", 2, 100), "[01]$", ""))).withColumn("asks", F.col("i").startswith("?"))
         named = entity.groupBy("entity").agg(F.max(F.exists("initials", lambda i: i.startswith("!")).cast("int")).alias("full"))
         rich = marks.filter("not asks").select("k", F.col("entity").alias("target")).distinct()
         only = rich.groupBy("k").agg(F.min("target").alias("target"), F.max("target").alias("_z")).filter("target = _z").drop("_z")
-        short = marks.filter("asks").join(named.filter("full = 0"), "entity", "left_semi").withColumn("rank", F.when(F.substring("i", 2, 1) == "S", 0).otherwise(1))
+        short = marks.filter("asks").join(named.filter("full = 0"), "entity", "left_semi").withColumn("rank", F.substring("i", -1, 1))
         found = short.join(only, "k").groupBy("entity").agg(F.min_by("target", F.struct("rank", "target")).alias("target")).filter("entity <> target")
         found = cut(found)
         if found.isEmpty():

@@ -39,7 +39,8 @@ def p3_entities(spark: SparkSession, folder: str) -> DataFrame:
     """(field, key, entity) of every listing, record and owner text with a readable name."""
     kinds = _kind_entries(spark, folder)
     listings, records = table(spark, folder, "museum_location_review"), table(spark, folder, "records")
-    found = names.profiles(listings, "facility_name", "museum_id", "facility_name", "municipality_code", kinds)
+    listings = listings.withColumn("cells", names.place_cells("longitude", "latitude"))
+    found = names.profiles(listings, "facility_name", "museum_id", "facility_name", "municipality_code", kinds, "cells")
     found = found.union(names.profiles(records, "name", "record_uid", "name", "municipality_code", kinds))
     return names.resolve(found.union(names.profiles(records, "owner", "owner", "owner", None, kinds)))
 
