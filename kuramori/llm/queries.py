@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kuramori.llm import address, canonical, mixing, mojibake, names, packing, tokens, uniform
+from kuramori.llm import address, canonical, matching, mixing, mojibake, names, packing, tokens, uniform
 from kuramori.llm.sql import SQL
 from kuramori.operators.dedupe import one_per_key
 from kuramori.session import cut, table
@@ -64,6 +64,22 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return address.pairs_within(cut(p4_places(spark, folder)), ["place"], "key").select("key_a", "key_b").distinct()
 
 
+def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings and elements that are the same facility, with the score and the calibrated confidence of each match."""
+    towns = address.gazetteer_rows(table(spark, folder, "town_master"))
+    m = {"id": "museum_id", "name": "facility_name", "city_code": "municipality_code", "city_name": "municipality_name", "address": "address_raw", "address2": "address_normalized", "postal": "postal_code", "lon": "longitude", "lat": "latitude"}
+    o = {"id": "osm_id", "name": "osm_name", "city_name": "addr_city", "address": "addr_full", "lon": "lon", "lat": "lat", "use": "amenity"}
+    listings = matching.features(table(spark, folder, "museum_location_review"), "m", m, towns)
+    elements = matching.features(table(spark, folder, "osm_facilities"), "o", o, towns)
+    found = matching.match(listings, elements)
+    return found.select(F.col("m_id").alias("museum_id"), F.col("o_id").cast("long").alias("osm_id"), "cosine", "score", "confidence")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of listing and element that are the same facility."""
+    return p6_matches(spark, folder).select("museum_id", "osm_id")
+
+
 def p7_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Values that had to change, with their consistent form."""
     records = uniform.changed_values(table(spark, folder, "records"), "record_uid", ["name", "address"], "records")
@@ -123,6 +139,8 @@ QUERIES = {
     "p3_entities": p3_entities,
     "p4_found": p4_found,
     "p4_places": p4_places,
+    "p6_found": p6_found,
+    "p6_matches": p6_matches,
     "p7_found": p7_found,
     "p7_changes": p7_changes,
     "p8_packed": p8_packed,
