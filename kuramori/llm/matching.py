@@ -5,7 +5,8 @@
 2. Random walks record -> token -> record -> token ... start at every record. A walk needs, per token, only a few records
    (``RESERVOIR``, the first by hash), so its table is bounded and each record walks in one pass. Skip-gram vectors of the tokens are
    trained on the walks of all records.
-3. A row's vector is the weighted mean of its tokens' vectors, in three views: name, place, and both together. Rows are blocked by
+3. A row's vector is the weighted mean of its tokens' vectors, in three views: name, place, and the letters of
+   the name in any order (the score is the cosine of name and place together). Rows are blocked by
    hyperplane hashing with several tables per view; the smaller table also probes the buckets behind its least certain bits.
 4. Candidates are reranked exactly: strict kind and branch, edit-tolerant name, distance, address, municipality.
 5. Cosine scores of the reranked pairs are calibrated on a bounded sample of candidates into the confidence.
@@ -33,7 +34,7 @@ from kuramori.session import cut
 BUCKETS = 1 << 16
 RESERVOIR, NEIGHBOUR_TOKENS = 12, 8
 WALKS, STEPS, DIMENSIONS = 4, 6, 32
-TABLES, BITS, PROBES = (10, 6, 6), 13, 6  # tables per view: name, place, both
+TABLES, BITS, PROBES = (8, 6, 8), 13, 6  # tables per view: name, place, letters of the name in any order
 CALIBRATION_PAIRS = 20_000
 NEAR_M, FAR_M = 250.0, 700.0
 # Words of things that serve or surround a facility, and uses of an element that isn't a facility itself.
@@ -61,7 +62,7 @@ def place_tokens(city: str, town: str, numbers: str, lon: float | None, lat: flo
 
 
 def name_tokens(strict: str, core: str) -> list[str]:
-    """Tokens of kind, branch, letters and letter pairs of a facility name."""
+    """Tokens of kind, branch, letter pairs and, as the last half, letters of a facility name."""
     if not core:
         return []
     out = [f"kind={strict}", f"end={core[-3:]}", f"begin={core[:3]}"] + [f"pair={core[i : i + 2]}" for i in range(len(core) - 1)]
@@ -181,9 +182,9 @@ def embed(nodes: DataFrame, vectors: np.ndarray, weights: np.ndarray, probing: s
             vs, ks = [], []
             for side, a, b in zip(pdf["side"], pdf["name_tokens"], pdf["place_tokens"]):
                 na, nb = _mean(a, vec, wts), _mean(b, vec, wts)
-                both = na + nb
+                both, letters = na + nb, _mean(a[len(a) // 2 + 1 :], vec, wts)
                 keys = []
-                for view, v in enumerate((na, nb, both)):
+                for view, v in enumerate((na, nb, letters)):
                     if not v.any():
                         continue
                     margin = planes[view] @ v
