@@ -133,3 +133,67 @@ def containing_polygons(points: DataFrame, polygons: DataFrame, point_key: str,
 
     border = hits.filter("not interior").join(shapes, key).filter(exactly_covers(F.col(geometry), F.col("_x"), F.col("_y"))).select(point_key, key)
     return certain.union(border).distinct()
+
+
+def to_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Spherical web-mercator coordinates in closed form."""
+    r = 6_378_137.0
+    return F.radians(lon) * r, F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2)) * r
+
+
+def nearest_within(few: DataFrame, many: DataFrame, key: str, reach: float, few_xy: tuple[str, str], many_xy: tuple[str, str]) -> DataFrame:
+    """Rows of ``many`` nearest to each row of ``few`` within a planar distance; all ties are kept.
+
+    Both sides go into square cells as wide as the reach, ``few`` into its 3 x 3 cells; the nearest is found by a combined minimum per key
+    and a join back to it, not by a sort."""
+    fx, fy, mx, my = (F.col(c) for c in (*few_xy, *many_xy))
+    cell = lambda v: F.floor(v / reach)
+    around = few.withColumn("_gx", F.explode(F.sequence(cell(fx) - 1, cell(fx) + 1))).withColumn("_gy", F.explode(F.sequence(cell(fy) - 1, cell(fy) + 1)))
+    d2 = (fx - mx) * (fx - mx) + (fy - my) * (fy - my)
+    hits = many.withColumn("_gx", cell(mx)).withColumn("_gy", cell(my)).join(around, ["_gx", "_gy"]).withColumn("_d2", d2).filter(F.col("_d2") <= reach * reach).drop("_gx", "_gy")
+    least = hits.groupBy(key).agg(F.min("_d2").alias("_least"))
+    return hits.join(least, key).filter("_d2 = _least").withColumn("distance", F.sqrt("_d2")).drop("_d2", "_least")
+
+
+def in_box_rings(points: DataFrame, shapes: DataFrame, point_key: str, key: str, rings: str, xy: tuple[str, str] = ("lon", "lat"), cell: float = 0.01) -> DataFrame:
+    """(point_key, key) of points in or on any ring of a footprint (``array<array<struct<x, y>>>``), wholly in the JVM.
+
+    Rings are separate areas, so a hole counts as filled, as in footprints taken ring by ring. Footprints are small: each is listed in the
+    grid cells its bounding box touches, and the exact even-odd test runs on the pairs of a cell only."""
+    ring = shapes.select(key, F.explode(rings).alias("r")).filter(F.size("r") >= 3)
+    xs, ys = F.transform("r", lambda p: p["x"]), F.transform("r", lambda p: p["y"])
+    boxed = ring.select(key, "r", F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
+    at = lambda c: F.floor(F.col(c) / cell)
+    celled = boxed.withColumn("_gx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("_gy", F.explode(F.sequence(at("y0"), at("y1"))))
+    x, y = (F.col(c) for c in xy)
+    pts = points.filter(x.isNotNull() & y.isNotNull()).select(point_key, x.alias("_x"), y.alias("_y")).distinct().withColumn("_gx", F.floor(F.col("_x") / cell)).withColumn("_gy", F.floor(F.col("_y") / cell))
+    near = pts.join(celled, ["_gx", "_gy"]).filter("_x between x0 and x1 and _y between y0 and y1")
+    n = F.size("r")
+    px, py = F.col("_x"), F.col("_y")
+    edges = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get("r", i).alias("a"), F.get("r", (i + 1) % n).alias("b")))
+    cross = lambda e: (e["b"]["x"] - e["a"]["x"]) * (py - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (px - e["a"]["x"])
+    within = lambda p, q, v: (F.least(p, q) <= v) & (v <= F.greatest(p, q))
+    on_edge = F.exists(edges, lambda e: (cross(e) == 0) & within(e["a"]["x"], e["b"]["x"], px) & within(e["a"]["y"], e["b"]["y"], py))
+    crossed = F.size(F.filter(edges, lambda e: ((e["a"]["y"] > py) != (e["b"]["y"] > py)) & F.when(e["b"]["y"] > e["a"]["y"], cross(e) > 0).otherwise(cross(e) < 0)))
+    return near.filter(on_edge | (crossed % 2 == 1)).select(point_key, key).distinct()
+
+
+def grid_max(points: DataFrame, x: str, y: str, value: str, cell: float) -> DataFrame:
+    """(ix, iy, value): the largest value of every cell; later tables are merged by the same aggregation over the union."""
+    return points.filter(F.col(value).isNotNull()).groupBy(F.floor(F.col(x) / cell).alias("ix"), F.floor(F.col(y) / cell).alias("iy")).agg(F.max(value).alias("value"))
+
+
+def lattice_spacing(points: DataFrame, axis: str, decimals: int = 7) -> DataFrame:
+    """(spacing): median of the small differences of neighbouring distinct coordinates (those up to 1.6 times their 35th percentile).
+
+    The differences are taken per coarse block with the block's least value carried over, so no global sort lands in one task."""
+    v = points.select(F.round(axis, decimals).alias("v")).filter("v is not null").distinct().withColumn("b", F.floor(F.col("v") * 100))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("b").orderBy("v")
+    inside = v.withColumn("d", F.col("v") - F.lag("v").over(w)).filter("d is not null").select("d")
+    ends = v.groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    bridge = ends.withColumn("d", F.col("lo") - F.lag("hi").over(Window.partitionBy(F.floor(F.col("b") / 1_000_000)).orderBy("b"))).filter("d is not null").select("d")
+    diffs = inside.union(bridge).filter("d > 0")
+    low = diffs.agg(F.percentile("d", F.lit(0.35)).alias("p"))
+    return diffs.join(F.broadcast(low)).filter("d <= 1.6 * p").agg(F.median("d").alias("spacing"))
