@@ -56,6 +56,7 @@ _KIND = re.compile("|".join(sorted(map(re.escape, [*_KIND_OF, *CONTRACTED]), key
 _KIND_OF |= CONTRACTED
 _BRANCH = re.compile("|".join(folded(b) for b in BRANCHES.split()))
 _OPERATOR = re.compile(OPERATORS)
+_LEGAL_END = re.compile(r"(?<=\S)[\s・]*(?:" + LEGAL_FORMS[4:-1] + ")$")
 _LEGAL, _ADDRESSING, _COUNTER = re.compile(LEGAL_FORMS), re.compile(ADDRESSING), re.compile(COUNTERS)
 _PIECE = re.compile("|".join(PIECES.split()))
 _HAN = r"[一-鿿々]"
@@ -127,6 +128,7 @@ def owner_profile(text: str, _city: str = "", _kinds: object = None) -> Profile
     while s != before:
         before = s
         s = _LEGAL.sub("", s).strip()
+        s = _LEGAL_END.sub("", s).strip() or s
         if m := re.fullmatch(r"\((.*)\)", s):
             s = m.group(1).strip()
         s = _ADDRESSING.sub("", s).strip() or s
