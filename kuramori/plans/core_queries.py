@@ -63,10 +63,10 @@ near AS (SELECT DISTINCT museum_id, other_kind, other_id FROM m JOIN o ON x BETW
   WHERE x BETWEEN 120 AND 155 AND y BETWEEN 20 AND 50 AND 2*6371008.8*asin(least(1.0, sqrt(pow(sin(radians(y-lat)/2),2)+cos(radians(lat))*cos(radians(y))*pow(sin(radians(x-lon)/2),2)))) <= 60),
 rings AS (SELECT zone_id, unnest(regexp_extract_all(geometry, '\\(([^()]+)\\)', 1)) AS ring FROM hazard_zones), numbered AS (SELECT zone_id, row_number() OVER () AS ring_no, string_split(ring, ',') AS pts FROM rings),
 pt AS (SELECT zone_id, ring_no, i, string_split(trim(pts[i]), ' ')[1]::DOUBLE AS px, string_split(trim(pts[i]), ' ')[2]::DOUBLE AS py FROM (SELECT zone_id, ring_no, pts, unnest(range(1, len(pts) + 1)) AS i FROM numbered)),
-e AS (SELECT a.zone_id, a.px AS ax, a.py AS ay, b.px AS bx, b.py AS by FROM pt a JOIN pt b ON a.ring_no = b.ring_no AND b.i = a.i + 1),
+e AS (SELECT a.zone_id, a.px AS ax, a.py AS ay, b.px AS cx, b.py AS cy FROM pt a JOIN pt b ON a.ring_no = b.ring_no AND b.i = a.i + 1),
 box AS (SELECT zone_id, min(px) AS x0, max(px) AS x1, min(py) AS y0, max(py) AS y1 FROM pt GROUP BY 1),
-t AS (SELECT m.museum_id, box.zone_id, bool_or((bx-ax)*(lat-ay)-(by-ay)*(lon-ax) = 0 AND lon BETWEEN least(ax,bx) AND greatest(ax,bx) AND lat BETWEEN least(ay,by) AND greatest(ay,by)) AS edge,
-  count(*) FILTER (WHERE (ay > lat) <> (by > lat) AND CASE WHEN by > ay THEN (bx-ax)*(lat-ay)-(by-ay)*(lon-ax) > 0 ELSE (bx-ax)*(lat-ay)-(by-ay)*(lon-ax) < 0 END) AS crossed
+t AS (SELECT m.museum_id, box.zone_id, bool_or((cx-ax)*(lat-ay)-(cy-ay)*(lon-ax) = 0 AND lon BETWEEN least(ax,cx) AND greatest(ax,cx) AND lat BETWEEN least(ay,cy) AND greatest(ay,cy)) AS edge,
+  count(*) FILTER (WHERE (ay > lat) <> (cy > lat) AND CASE WHEN cy > ay THEN (cx-ax)*(lat-ay)-(cy-ay)*(lon-ax) > 0 ELSE (cx-ax)*(lat-ay)-(cy-ay)*(lon-ax) < 0 END) AS crossed
   FROM m JOIN box ON lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1 JOIN e ON e.zone_id = box.zone_id GROUP BY 1, 2)
 SELECT * FROM near UNION ALL SELECT museum_id, 'zone', zone_id FROM t WHERE edge OR crossed % 2 = 1""",
 }
