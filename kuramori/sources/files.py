@@ -79,7 +79,8 @@ def read_csv(spark: SparkSession, paths: Sequence[str], encodings: Sequence[str]
             for path, encoding in zip(pdf["path"], pdf["encoding"]):
                 at = 0
                 for part in pd.read_csv(path, encoding=encoding, dtype=str, keep_default_na=False, na_filter=False, chunksize=50_000):
-                    part = part.reindex(columns=columns)
+                    part = part.reindex(columns=columns).astype(object)
+                    part = part.where(part.notna(), None)
                     part["src_file"], part["src_ord"] = os.path.basename(path), range(at, at + len(part))
                     at += len(part)
                     yield part

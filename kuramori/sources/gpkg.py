@@ -11,7 +11,7 @@ import sqlite3
 import struct
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -107,7 +107,7 @@ class PackageReader(DataSourceReader):
 
 
 class PackageSource(DataSource):
-    """The data source; register with ``spark.dataSource.register(PackageSource)``."""
+    """The data source; see ``register``."""
 
     @classmethod
     def name(cls) -> str:
@@ -141,6 +141,12 @@ class PackageSource(DataSource):
         return PackageReader(self.options["path"], layer, schema, None if layer == CONTENTS else self._geometry())
 
 
+def register(spark: SparkSession) -> None:
+    """Make the format known to a session and let filters reach SQLite."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PackageSource)
+
+
 def export_tables(path: str, tables: dict[str, DataFrame], max_rows: int = 5_000_000) -> list[str]:
     """Write small result tables into a new package as attribute tables and register them; empty tables are left out, and nothing is
     written if all are empty. Written beside the target, checked, then moved over it."""
