@@ -194,11 +194,11 @@ def embed(nodes: DataFrame, vectors: np.ndarray, weights: np.ndarray, probing: s
                         if side == probing:
                             keys += [f"{view}:{t}:{code[t] ^ (1 << int(k))}" for k in np.argsort(np.abs(margin[t]))[:PROBES]]
                 n = np.linalg.norm(both)
-                vs.append((both / n if n else both).astype(float).tolist())
+                vs.append((both / n if n else both).astype(np.float32).tolist())
                 ks.append(keys)
             yield pdf.assign(vector=vs, buckets=ks)
 
-    return nodes.mapInPandas(run, FIELDS + ", vector array<double>, buckets array<string>")
+    return nodes.mapInPandas(run, FIELDS + ", vector array<float>, buckets array<string>")
 
 
 def same_name(a: str, b: str, a_short: bool, b_short: bool, supported: bool) -> float:
@@ -245,11 +245,16 @@ def pair_score(p: dict) -> float:
 
 
 def candidates(embedded: DataFrame, left: str, right: str) -> DataFrame:
-    """Distinct (m_id, o_id) of the rows that share a bucket."""
-    keyed = embedded.select("side", "id", F.explode("buckets").alias("b")).select("side", "id", F.xxhash64("b").alias("k"))
-    a = keyed.filter(F.col("side") == left).select("k", F.col("id").alias("m_id"))
-    b = keyed.filter(F.col("side") == right).select("k", F.col("id").alias("o_id"))
-    return a.join(b, "k").select("m_id", "o_id").distinct()
+    """Distinct (m_h, o_h) of the rows that share a bucket and could pass the strict tests: kind and branch are part of the block key
+    (an unnamed element meets everything in its place bucket), municipalities must not contradict."""
+    keyed = embedded.select("side", "h", "city", "strict", F.explode("buckets").alias("b"))
+    placed = F.col("b").startswith("1:")
+    own = keyed.select("side", "h", "city", F.xxhash64("b", "strict").alias("k"))
+    open_ = keyed.filter(placed & (F.col("side") == left) & (F.col("strict") != "")).select("side", "h", "city", F.xxhash64("b", F.lit("")).alias("k"))
+    every = own.union(open_)
+    a = every.filter(F.col("side") == left).select("k", F.col("h").alias("m_h"), F.col("city").alias("m_c"))
+    b = every.filter(F.col("side") == right).select("k", F.col("h").alias("o_h"), F.col("city").alias("o_c"))
+    return a.join(b, "k").filter("m_c = o_c or m_c = '' or o_c = ''").select("m_h", "o_h").distinct()
 
 
 def calibrate(cosine: np.ndarray, agree: np.ndarray) -> tuple[float, float]:
@@ -271,20 +276,22 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     """(m_id, o_id, cosine, score, confidence) of the pairs that are the same facility; inputs are ``features`` of sides m and o."""
     nodes = cut(listings.union(elements.filter("not served")))
     vectors, weights = token_vectors(nodes), token_weights(nodes)
-    embedded = cut(embed(nodes, vectors, weights, "o"))
+    embedded = cut(embed(nodes, vectors, weights, "o").withColumn("h", F.xxhash64("side", "id")))
     light = [c.split()[0] for c in FIELDS.split(", ") if c.split()[0] in ("id", "city", "strict", "core", "short", "town", "numbers", "lon", "lat")]
-    side = lambda s: embedded.filter(F.col("side") == s).select(*[F.col(c).alias(f"{s}_{c}") for c in [*light, "vector"]])
+    side = lambda s, cols: embedded.filter(F.col("side") == s).select(*[F.col(c).alias(f"{s}_{c}") for c in ["h", *cols]])
     pairs = candidates(embedded, "m", "o")
-    both = pairs.join(side("m"), "m_id").join(side("o"), "o_id")
-    cosine = F.aggregate(F.zip_with("m_vector", "o_vector", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    both = pairs.join(side("m", light), "m_h").join(side("o", light), "o_h")
+    cosine = F.aggregate(F.zip_with("m_vector", "o_vector", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v.cast("double"))
     names = [f"{s}_{c}" for s in ("m", "o") for c in light if c != "id"]
 
     @F.pandas_udf("double")
     def score(df: pd.DataFrame) -> pd.Series:
         return pd.Series([pair_score(r) for r in df.to_dict("records")], dtype="float64")
 
-    ranked = cut(both.withColumn("cosine", cosine).select("m_id", "o_id", "m_core", "m_strict", "o_core", "cosine", score(F.struct(*names)).alias("score")))
-    sample = ranked.select("cosine", (F.col("score") > 0).cast("double").alias("agree")).orderBy(F.xxhash64("m_id", "o_id")).limit(CALIBRATION_PAIRS).collect()
+    with_vectors = lambda df: df.join(side("m", ["vector"]), "m_h").join(side("o", ["vector"]), "o_h").withColumn("cosine", cosine)
+    ranked = cut(both.select("m_h", "o_h", "m_id", "o_id", "m_core", "m_strict", "o_core", score(F.struct(*names)).alias("score")))
+    few = ranked.select("m_h", "o_h", (F.col("score") > 0).cast("double").alias("agree")).orderBy(F.xxhash64("m_h", "o_h"), "m_h", "o_h").limit(CALIBRATION_PAIRS)
+    sample = with_vectors(few).select("cosine", "agree").collect()  # the bounded calibration sample
     slope, offset = calibrate(np.array([r[0] for r in sample]), np.array([r[1] for r in sample])) if sample else (0.0, 0.0)
     accepted = ranked.filter("score > 0")
     # an unnamed element must point to one facility only
@@ -293,4 +300,4 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     probability = 1 / (1 + F.exp(-(F.lit(slope) * F.col("cosine") + F.lit(offset))))
     # the exact comparison and the calibrated cosine are two witnesses: a match is wrong only if both are
     confidence = 1 - (1 - 0.9 * F.col("score")) * (1 - probability)
-    return accepted.join(vague, "o_id", "left_anti").select("m_id", "o_id", "cosine", "score", confidence.alias("confidence"))
+    return with_vectors(accepted.join(vague, "o_id", "left_anti")).select("m_id", "o_id", "cosine", "score", confidence.alias("confidence"))
