@@ -112,28 +112,30 @@ def walks(nodes: DataFrame, seed: int = 11) -> DataFrame:
     lists = edges.select("h", F.slice(F.shuffle("t", F.lit(seed)), 1, NEIGHBOUR_TOKENS).alias("some"), F.explode("t").alias("token"))
     w = Window.partitionBy("token").orderBy("h")
     few = lists.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= RESERVOIR)  # the rank limit is applied before the shuffle too
-    table = {r["token"]: [np.array(x, dtype=np.int32) for x in r["near"]] for r in few.groupBy("token").agg(F.collect_list("some").alias("near")).toLocalIterator()}
-    shipped = nodes.sparkSession.sparkContext.broadcast(table)  # at most BUCKETS x RESERVOIR x NEIGHBOUR_TOKENS numbers
+    near = np.full((BUCKETS, RESERVOIR, NEIGHBOUR_TOKENS), -1, dtype=np.int32)  # the whole table: its size is fixed by the parameters
+    for r in few.select("token", "n", "some").toLocalIterator():
+        near[r["token"], r["n"] - 1, : len(r["some"])] = r["some"]
+    shipped = nodes.sparkSession.sparkContext.broadcast(near)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        near = shipped.value
+        table = shipped.value
+        rows, tokens = (table[:, :, 0] >= 0).sum(axis=1), (table >= 0).sum(axis=2)
         for pdf in batches:
             out = []
             for h, own in zip(pdf["h"], pdf["t"]):
-                rng = np.random.default_rng([seed, int(h) & 0xFFFFFFFF])
                 if not len(own):
                     continue
-                for _ in range(WALKS):
+                rng = np.random.default_rng([seed, int(h) & 0xFFFFFFFF])
+                draws = rng.random((WALKS, 2 * STEPS))
+                for k in range(WALKS):
                     path = [int(t) for t in rng.choice(own, size=min(3, len(own)), replace=False)]
                     at = path[-1]
-                    for _ in range(STEPS):
-                        others = near.get(at)
-                        if not others:
+                    for u, v in zip(draws[k, ::2], draws[k, 1::2]):
+                        if not rows[at]:
                             break
-                        hop = others[rng.integers(len(others))]
-                        if len(hop):
-                            at = int(hop[rng.integers(len(hop))])
-                            path.append(at)
+                        other = int(u * rows[at])
+                        at = int(table[at, other, int(v * tokens[at, other])])
+                        path.append(at)
                     out.append([str(t) for t in path])
             yield pd.DataFrame({"walk": out})
 
