@@ -42,3 +42,13 @@ def cut(df: DataFrame) -> DataFrame:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the parquet tables of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition for Python-heavy work: as many partitions as the session has shuffle partitions or cores, whichever is more.
+
+    Adaptive execution merges small shuffle partitions by bytes, which would put costly rows of few bytes into one task; a
+    repartition by number is left as it is."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
