@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from kuramori.llm.address import Gazetteer, municipality_code, parse, written_town
 from kuramori.llm.names import facility_profile, leave_one_out, leave_out
 from kuramori.llm.uniform import consistent_text
-from kuramori.session import cut
+from kuramori.session import cut, spread
 
 BUCKETS = 1 << 16
 RESERVOIR, NEIGHBOUR_TOKENS = 12, 8
@@ -82,7 +82,7 @@ def features(df: DataFrame, side: str, columns: dict[str, str | None], towns: li
         for pdf in batches:
             yield pd.DataFrame([_row(side, r, g, everywhere) for r in pdf.itertuples(index=False)], columns=[f.split()[0] for f in FIELDS.split(", ")])
 
-    rows = df.select(*picked).distinct().mapInPandas(run, FIELDS)
+    rows = df.select(*picked).mapInPandas(run, FIELDS)
     w = Window.partitionBy("side", "id").orderBy(F.col("core").desc(), F.col("lon").desc_nulls_last())
     return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
@@ -276,7 +276,7 @@ def calibrate(cosine: np.ndarray, agree: np.ndarray) -> tuple[float, float]:
 
 def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     """(m_id, o_id, cosine, score, confidence) of the pairs that are the same facility; inputs are ``features`` of sides m and o."""
-    nodes = cut(listings.union(elements.filter("not served")))
+    nodes = cut(spread(listings.union(elements.filter("not served"))))
     vectors, weights = token_vectors(nodes), token_weights(nodes)
     embedded = cut(embed(nodes, vectors, weights, "o").withColumn("h", F.xxhash64("side", "id")))
     light = [c.split()[0] for c in FIELDS.split(", ") if c.split()[0] in ("id", "city", "strict", "core", "short", "town", "numbers", "lon", "lat")]

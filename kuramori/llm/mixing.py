@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kuramori.session import cut
+from kuramori.session import cut, spread
 
 SHARD = 20_000
 LANDING = 400
@@ -104,7 +104,7 @@ def balanced_mix(sized: DataFrame, targets: DataFrame, key: str, source: str = "
         shards = F.lit(1).cast("long") if final else F.greatest(F.lit(1), F.ceil(F.col("_n") / shard)).cast("long")
         mixed = F.xxhash64(F.col(key), F.lit(seed), F.lit(stage))
         dealt = todo.join(F.broadcast(counts), source).withColumn("_shard", F.pmod(mixed, shards)).withColumn("_at", F.xxhash64(mixed)).drop("_n")
-        flown = cut(dealt.groupBy(source, "_shard").applyInPandas(_fly(final, seed, columns), schema))
+        flown = cut(spread(dealt, source, "_shard").groupBy(source, "_shard").applyInPandas(_fly(final, seed, columns), schema))
         settled = settled.union(flown.filter(f"not ({undecided})"))
         if final:
             break

@@ -258,7 +258,7 @@ def profiles(df: DataFrame, field: str, key: str, text: str, code: str | None, k
                     out.append((k, p[0], p[1], p[2] + more, p[3]))
             yield pd.DataFrame(out, columns=["key", "strict", "core", "keys", "initials"])
 
-    rows = df.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(*cols).distinct()
+    rows = df.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(*cols)
     out = rows.mapInPandas(run, "key string, strict string, core string, keys array<string>, initials array<string>")
     return out.select(F.lit(field).alias("field"), "key", F.xxhash64(F.lit(field), "strict", "core").alias("node"), "strict", "core", "keys", "initials")
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kuramori.session import cut
+from kuramori.session import cut, spread
 
 SHARD = 4_000
 WELL_FILLED = 0.985
@@ -113,7 +113,7 @@ def fill_containers(sized: DataFrame, containers: DataFrame, key: str, shard: in
         counts = todo.groupBy("container").agg(F.count("*").alias("_n"))
         shards = F.greatest(F.lit(1), F.ceil(F.col("_n") / shard)).cast("long")
         dealt = todo.join(F.broadcast(counts), "container").withColumn("stage", F.lit(stage)).withColumn("shard", F.pmod(F.xxhash64(F.col(key), "piece", F.lit(stage)), shards)).drop("_n")
-        packed = cut(dealt.select(*kinds, "stage", "shard").groupBy("container", "shard").applyInPandas(_pack_group(key), schema))
+        packed = cut(spread(dealt.select(*kinds, "stage", "shard"), "container", "shard").groupBy("container", "shard").applyInPandas(_pack_group(key), schema))
         if stage == rounds:
             good, todo = packed, None
         else:

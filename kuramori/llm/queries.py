@@ -17,7 +17,7 @@ def _mapped(spark: SparkSession, folder: str) -> DataFrame:
     ref = table(spark, folder, "heritage_type_ref")
     entries = canonical.reference_entries(ref, "heritage_type_major_code", ["heritage_type_major_ja", "label_kana", "label_en"], ["aliases"])
     values = table(spark, folder, "observed_values").filter("raw_value is not null and raw_value <> ''")
-    return canonical.map_values(values.select("obs_id", "source_field", "raw_value").distinct(), "raw_value", entries)
+    return canonical.map_values(values.select("obs_id", "source_field", "raw_value"), "raw_value", entries)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,8 +53,8 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 def p4_places(spark: SparkSession, folder: str) -> DataFrame:
     """(key, place) of every listing and record with a readable address."""
     towns = address.gazetteer_rows(table(spark, folder, "town_master"))
-    listings = table(spark, folder, "museum_location_review").select("museum_id", "address_raw", "address_normalized", "municipality_code", "postal_code").distinct()
-    records = table(spark, folder, "records").filter("address is not null and address <> ''").select("record_uid", "address", "address_detail", "municipality_code").distinct()
+    listings = table(spark, folder, "museum_location_review").select("museum_id", "address_raw", "address_normalized", "municipality_code", "postal_code")
+    records = table(spark, folder, "records").filter("address is not null and address <> ''").select("record_uid", "address", "address_detail", "municipality_code")
     found = address.parsed(listings, "museum_id", ["address_raw", "address_normalized"], None, "municipality_code", "postal_code", towns)
     return address.places(found.union(address.parsed(records, "record_uid", ["address"], "address_detail", "municipality_code", None, towns)))
 
@@ -91,14 +91,9 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_changes(spark, folder).select("table_name", "row_key", "field").distinct()
 
 
-def _documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Documents, one row per key."""
-    return one_per_key(table(spark, folder, "documents").select("doc_id", *columns), ["doc_id"])
-
-
 def _sized(spark: SparkSession, folder: str) -> DataFrame:
-    """Document sizes in tokens, counted once and written: later stages read the few numbers, not the texts."""
-    return cut(tokens.sized(_documents(spark, folder, "text", "source"), "doc_id", "text", ["source"]))
+    """Document sizes in tokens, counted once where the texts are read, and written: later stages read the few numbers, not the texts."""
+    return cut(one_per_key(tokens.sized(table(spark, folder, "documents"), "doc_id", "text", ["source"]), ["doc_id"]))
 
 
 def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,7 +119,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
     """Damaged documents with the restored text and the chain of readings that was undone."""
-    return mojibake.restored_documents(_documents(spark, folder, "text", "lang"))
+    return one_per_key(mojibake.restored_documents(table(spark, folder, "documents")), ["doc_id"])
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -167,6 +167,6 @@ def maybe_inconsistent(text: Column) -> Column:
 def changed_values(df: DataFrame, key: str, fields: list[str], table_name: str) -> DataFrame:
     """(table_name, row_key, field, value, consistent, findings) of the values that are not in their consistent form."""
     long = df.select(F.col(key).cast("string").alias("row_key"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("x"))
-    long = long.select("row_key", "x.field", "x.value").filter(F.col("value").isNotNull() & maybe_inconsistent(F.col("value"))).distinct()
+    long = long.select("row_key", "x.field", "x.value").filter(F.col("value").isNotNull() & maybe_inconsistent(F.col("value")))
     out = long.withColumn("c", consistent_form("value")).filter(~F.col("c.value").eqNullSafe(F.col("value")))
-    return out.select(F.lit(table_name).alias("table_name"), "row_key", "field", "value", F.col("c.value").alias("consistent"), F.col("c.findings").alias("findings"))
+    return out.select(F.lit(table_name).alias("table_name"), "row_key", "field", "value", F.col("c.value").alias("consistent"), F.col("c.findings").alias("findings")).distinct()
