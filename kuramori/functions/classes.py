@@ -172,3 +172,107 @@ def ownership(name: Column, municipality: Column) -> Column:
         .when(name.rlike("大学|学園|学院"), "university")
         .otherwise("unknown")
     )
+
+
+# Words that state the authority of a designation.
+LEVEL_WORDS = {
+    "municipal": ["区指定", "市指定", "町指定", "村指定", "区登録", "市登録", "町登録", "村登録"],
+    "prefectural": ["東京都指定", "都指定", "東京都登録", "都登録", "東京都選定", "都選定"],
+    "national": ["国指定", "国登録", "国選定", "国宝", "重要文化財", "登録有形文化財", "登録記念物", "重要有形民俗文化財", "重要無形民俗文化財", "重要文化的景観", "重要伝統的建造物群保存地区"],
+}
+
+
+def stated_level(text: Column, municipality: Column, default: Column | None = None, words: Mapping[str, Sequence[str]] = LEVEL_WORDS) -> Column:
+    """struct(level, reason): the most local authority a text speaks of, else a configured default, else ``ambiguous``."""
+    s = F.coalesce(text, F.lit(""))
+    says = lambda ws: s.rlike("|".join(ws))
+    named = (F.length(F.coalesce(municipality, F.lit(""))) > 0) & (s.contains(F.concat(municipality, F.lit("指定"))) | s.contains(F.concat(municipality, F.lit("登録"))) | s.contains(F.concat(municipality, F.lit("選定"))))
+    pair = lambda level, reason: F.struct((F.lit(level) if isinstance(level, str) else level).alias("level"), F.lit(reason).alias("reason"))
+    out = F.when(says(words["municipal"]) | F.coalesce(named, F.lit(False)), pair("municipal", "explicit_municipal_keyword"))
+    for level in ("prefectural", "national"):
+        out = out.when(says(words[level]), pair(level, f"explicit_{level}_keyword"))
+    if default is not None:
+        out = out.when(default.isin("municipal", "prefectural", "national"), pair(default, "configured_default"))
+    return out.otherwise(pair("ambiguous", "no_explicit_designation_level"))
+
+
+def mapped_class(kind: Column, classes: Mapping[str, str], roles: Mapping[str, str], fallback: str) -> Column:
+    """struct(entity_class, geometry_role) of a type by configurable maps; a class without a role is an error of the configuration."""
+    if unknown := {*classes.values(), fallback} - set(roles):
+        raise ValueError(f"no geometry role for {sorted(unknown)}")
+    entity = looked_up(kind, classes, fallback)
+    return F.struct(entity.alias("entity_class"), looked_up(entity, roles, "").alias("geometry_role"))
+
+
+def risk_class(rank: Column, rank_org: Column, area_type: Column) -> Column:
+    """First filled of rank, organisational rank and area type; '' if none."""
+    return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in (rank, rank_org, area_type)], F.lit(""))
+
+
+def risk_label(parts: Sequence[Column], depth_m: Column, duration_h: Column) -> Column:
+    """Readable label of a risk: filled parts, depth and duration, joined by a bar."""
+    short = lambda c: F.regexp_replace(F.format_string("%.6f", c), r"\.?0+$", "")
+    texts = [F.nullif(F.trim(c), F.lit("")) for c in parts]
+    measured = [F.when(depth_m.isNotNull(), F.concat(F.lit("深さ "), short(depth_m), F.lit(" m"))), F.when(duration_h.isNotNull(), F.concat(F.lit("継続 "), short(duration_h), F.lit(" h")))]
+    return F.concat_ws("｜", *texts, *measured)
+
+
+def address_evidence(address: Column, municipality: Column, prefecture: str, linked_data: Column, access_hint: Column, mailing_hint: Column, on_page: Column, in_section: Column, own_host: Column) -> Column:
+    """Additive score of an address found on a page."""
+    yes = lambda c, n: F.when(F.coalesce(c, F.lit(False)), n).otherwise(0)
+    return (
+        yes((F.length(municipality) > 0) & address.contains(municipality), 60) + yes(address.startswith(prefecture) & address.rlike(r"\d"), 20) + yes(linked_data, 15)
+        + yes(access_hint, 10) + yes(mailing_hint, -50) + yes(on_page, 25) + yes(in_section, 25) + yes(own_host, 10)
+    ).cast("int")
+
+
+def element_role(tags: Column, element: Column, exact_name: Column, own_site: Column) -> Column:
+    """What a tagged map element is: the facility's building, the facility, something serving it, or just something of that name."""
+    tag = lambda k: F.coalesce(F.trim(F.try_element_at(tags, F.lit(k))), F.lit(""))
+    area = element.isin("way", "relation")
+    return (
+        F.when(area & ((tag("building") == "museum") | (tag("building:use") == "museum") | ((tag("building") != "") & exact_name)), "facility_building")
+        .when(tag("tourism").isin("museum", "gallery", "zoo", "aquarium") | (tag("amenity") == "arts_centre") | (tag("museum") != ""), "facility_feature")
+        .when((tag("amenity") != "") | (tag("tourism") != "") | (tag("entrance") != "") | (tag("highway") != "") | (tag("shop") != ""), "supporting_poi")
+        .when(F.coalesce(own_site, F.lit(False)), "official_site_supported_object")
+        .otherwise("named_object")
+    )
+
+
+def role_preference(role: Column, element: Column) -> Column:
+    """Order of roles, best first."""
+    area = element.isin("way", "relation")
+    return (
+        F.when((role == "facility_building") & area, 0).when((role == "facility_feature") & area, 1).when(role == "facility_feature", 2)
+        .when(role == "official_site_supported_object", 3).when(role == "named_object", 4).otherwise(5)
+    )
+
+
+def municipality_evidence(expected: Column, stated: Column) -> Column:
+    """match, conflict (another municipality is named) or unknown."""
+    s = F.coalesce(stated, F.lit(""))
+    return F.when((F.length(expected) > 0) & s.contains(expected), "match").when(s.rlike("[^\\s,，]+[区市町村]"), "conflict").otherwise("unknown")
+
+
+def layer_kind(name: Column, prefixes: Mapping[str, str], fallback: str = "other") -> Column:
+    """Kind of a layer by the longest matching prefix of its name."""
+    out = None
+    for prefix, kind in sorted(prefixes.items(), key=lambda kv: -len(kv[0])):
+        out = F.when(name.startswith(prefix), kind) if out is None else out.when(name.startswith(prefix), kind)
+    return F.lit(fallback) if out is None else out.otherwise(fallback)
+
+
+# Metrics in names of tsunami resources.
+TSUNAMI_METRICS = {"到達時間": "arrival", "津波高": "height", "浸水深": "depth"}
+
+
+def tsunami_parts(name: Column) -> Column:
+    """struct(area, scenario, metric) of a resource name; metric is null where the name states none."""
+    s = F.regexp_replace(name, "(?i)CSV$", "")
+    area = F.when(s.contains("_"), F.element_at(F.split(s, "_"), 1)).otherwise("")
+    metric = None
+    for word, code in TSUNAMI_METRICS.items():
+        metric = F.when(s.contains(word), code) if metric is None else metric.when(s.contains(word), code)
+    rest = F.when(area != "", F.regexp_replace(s, "^[^_]*_", "")).otherwise(s)
+    scenario = F.regexp_replace(F.regexp_replace(rest, "_?(?:" + "|".join(TSUNAMI_METRICS) + ")", ""), "^[_ ]+|[_ ]+$", "")
+    return F.struct(area.alias("area"), scenario.alias("scenario"), metric.alias("metric"))

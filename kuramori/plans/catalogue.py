@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kuramori.functions import classes as C
+from kuramori.functions import shapes
 from kuramori.functions import text as X
 from kuramori.functions.geometry import haversine_m, plausible
 from kuramori.functions.mesh import cell_box, code_of
 from kuramori.operators import lookup, spatial, tables
 from kuramori.operators.dedupe import best_row, ranked
+from kuramori.plans import pipelines
 from kuramori.plans import views as V
 from kuramori.session import table
 
@@ -277,7 +279,7 @@ def building_link_methods(spark, d):
     """Links per building with the sorted union of their methods."""
     r = V.records(spark, d).select("record_uid", F.explode("matched_building_ids").alias("gml_id"), "match_methods")
     counted = r.groupBy("gml_id").agg(F.count_distinct("record_uid").alias("records"), F.flatten(F.collect_set("match_methods")).alias("m"))
-    named = F.filter(F.transform("m", F.trim), lambda v: v != "")
+    named = F.filter(F.transform("m", lambda v: F.trim(v)), lambda v: v != "")
     return counted.select("gml_id", "records", F.array_join(F.array_sort(F.array_distinct(named)), ";").alias("methods"))
 
 
@@ -674,3 +676,96 @@ def similar_names(spark, d):
     e = V.elements(spark, d).select("osm_id", X.facility_key(F.col("osm_name")).alias("b"), F.col("addr_city").alias("city")).filter("b <> ''")
     pairs = m.withColumn("k", F.substring("a", 1, 2)).join(e.withColumn("k", F.substring("b", 1, 2)), ["city", "k"])
     return pairs.withColumn("ratio", X.ratio("a", "b")).filter("ratio >= 0.72").select("museum_id", "osm_id", F.round("ratio", 6).alias("ratio"))
+
+
+# ---- composites ------------------------------------------------------------------------------------------------------------
+
+
+@query(None)
+def extract_states(spark, d):
+    """Matching state of every record after exact matching to buildings."""
+    return pipelines.extract_package(V.records(spark, d), table(spark, d, "buildings"))["records"]
+
+
+@query(None)
+def extract_complexes(spark, d):
+    """Complexes of the extraction."""
+    return pipelines.extract_package(V.records(spark, d), table(spark, d, "buildings"))["complex_summary"]
+
+
+@query(None)
+def disaster_layers_wide(spark, d):
+    """Buildings with labelled risks in slots."""
+    by_file = spark.createDataFrame(BY_FILE, "file string, code string, label string")
+    by_type = spark.createDataFrame(BY_TYPE, "type string, field string, code string, label string")
+    return pipelines.disaster_layers(V.risks(spark, d), table(spark, d, "buildings"), by_file, by_type, 40)["wide"]
+
+
+@query(None)
+def record_depth_classes(spark, d):
+    """Worst nearest depth of every record and its class."""
+    return pipelines.point_hazard(V.records(spark, d).select("record_uid", "x", "y", "located"), V.points(spark, d), "record_uid", "depth", C.depth_class(F.col("value")))
+
+
+@query(None)
+def museum_map_audit(spark, d):
+    """Audit of listings against map elements."""
+    m = V.listings(spark, d).filter("located").select("museum_id", "facility_name", "municipality_name", "longitude", "latitude")
+    e = V.elements(spark, d).filter("coalesce(osm_name, '') <> ''").withColumn("x", F.col("lon")).withColumn("y", F.col("lat")).filter(plausible(F.col("x"), F.col("y"))).drop("lon", "lat")
+    return pipelines.facility_audit(m, e)
+
+
+@query(f"""WITH t AS (SELECT record_uid, coalesce(raw_designation,'') || coalesce(raw_category,'') AS s FROM {R} r) SELECT record_uid,
+CASE WHEN regexp_matches(s, '区指定|市指定|町指定|村指定|区登録|市登録|町登録|村登録') THEN 'municipal' WHEN regexp_matches(s, '東京都指定|都指定|東京都登録|都登録|東京都選定|都選定') THEN 'prefectural' WHEN regexp_matches(s, '国指定|国登録|国選定|国宝|重要文化財|登録有形文化財|登録記念物|重要有形民俗文化財|重要無形民俗文化財|重要文化的景観|重要伝統的建造物群保存地区') THEN 'national' ELSE 'ambiguous' END AS level FROM t""")
+def stated_levels(spark, d):
+    """Designation level a record's own words state."""
+    s = F.concat(F.coalesce("raw_designation", F.lit("")), F.coalesce("raw_category", F.lit("")))
+    return V.records(spark, d).select("record_uid", C.stated_level(s, F.lit(""))["level"].alias("level"))
+
+
+@query(None)
+def classified_values(spark, d):
+    """Observed values by overrides and glossary."""
+    ref = table(spark, d, "heritage_type_ref")
+    names = ref.select(F.col("heritage_type_major_ja").alias("match_value"), F.col("heritage_type_major_code").alias("type_code"), F.lit("high").alias("confidence"), F.lit(1).alias("priority"))
+    aliases = ref.select(F.explode(F.split("aliases", ";")).alias("match_value"), F.col("heritage_type_major_code").alias("type_code"), F.lit("medium").alias("confidence"), F.lit(2).alias("priority"))
+    overrides = spark.createDataFrame([("その他", "other", 1)], "raw_value string, type_code string, position int")
+    o = V.observed(spark, d).filter("raw_value <> ''").select("obs_id", "raw_value")
+    return pipelines.classify(o, names.union(aliases), overrides, ["raw_value"]).select("obs_id", "type_code", "confidence", "matched_by")
+
+
+@query("SELECT building_gml_id, risk_index, count(*) AS copies, count(DISTINCT sha256(coalesce(risk_type,'') || '|' || coalesce(rank_code,''))) AS versions FROM plateau_disaster_risk GROUP BY 1, 2 HAVING count(*) > 1")
+def repeated_risk_versions(spark, d):
+    """Repeated keys and whether their contents differ."""
+    v = F.sha2(F.concat_ws("|", F.coalesce("risk_type", F.lit("")), F.coalesce("rank_code", F.lit(""))), 256)
+    return table(spark, d, "plateau_disaster_risk").groupBy("building_gml_id", "risk_index").agg(F.count("*").alias("copies"), F.count_distinct(v).alias("versions")).filter("copies > 1")
+
+
+@query(None)
+def building_shapes(spark, d):
+    """Area, interior point, centroid and bounds of footprints."""
+    b = table(spark, d, "buildings")
+    c, box = shapes.centroid(F.get("rings", F.lit(0))), shapes.bounds(F.col("rings"))
+    return b.select("gml_id", F.round(shapes.footprint_area_m2("rings"), 3).alias("area_m2"), shapes.representative_point("rings").alias("p"), c.alias("c"), box.alias("b")).select("gml_id", "area_m2", F.col("p.x").alias("px"), F.col("p.y").alias("py"), F.col("c.x").alias("cx"), F.col("c.y").alias("cy"), "b.*")
+
+
+@query(None)
+def listing_geodesics(spark, d):
+    """Ellipsoidal distance of listings to the nearest records of the distance join."""
+    m = V.listings(spark, d).filter("located").select("museum_id", "longitude", "latitude")
+    r = V.records(spark, d).filter("located").select("record_uid", "x", "y")
+    near = spatial.within_distance(m, r, 60.0, ("longitude", "latitude"), ("x", "y"))
+    return near.select("museum_id", "record_uid", F.round(shapes.geodesic_m("longitude", "latitude", "x", "y"), 3).alias("metres"))
+
+
+@query("SELECT zone_id, zone_kind, CASE WHEN upper(geometry) LIKE '%POLYGON%' THEN 'polygon' ELSE '' END AS family, CASE zone_kind WHEN 'flood' THEN 'water' WHEN 'storm_surge' THEN 'water' WHEN 'fire' THEN 'fire' ELSE 'ground' END AS kind FROM hazard_zones")
+def zone_families(spark, d):
+    """Geometry family and hazard kind of zones."""
+    kinds = {"flood": "water", "storm": "water", "fire": "fire"}
+    return table(spark, d, "hazard_zones").select("zone_id", "zone_kind", shapes.geometry_family(F.col("geometry")).alias("family"), C.layer_kind(F.col("zone_kind"), kinds, "ground").alias("kind"))
+
+
+@query(f"SELECT 'inundation_depth_max_m' AS \"column\", count(inundation_depth_max_m) AS numeric, count(inundation_depth_max_m) AS filled, count(DISTINCT inundation_depth_max_m) AS distinct_values FROM {G} g UNION ALL SELECT 'scenario', count(try_cast(scenario AS DOUBLE)), count(scenario), count(DISTINCT scenario) FROM {G} g")
+def value_column_profile(spark, d):
+    """Which columns hold numbers."""
+    return pipelines.numeric_share(V.points(spark, d), ["inundation_depth_max_m", "scenario"])
