@@ -276,7 +276,13 @@ def calibrate(cosine: np.ndarray, agree: np.ndarray) -> tuple[float, float]:
 
 def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     """(m_id, o_id, cosine, score, confidence) of the pairs that are the same facility; inputs are ``features`` of sides m and o."""
-    nodes = cut(spread(listings.union(elements.filter("not served"))))
+    rows = listings.union(elements.filter("not served"))
+    alike = F.xxhash64("side", "city", "strict", "core", "short", "town", "numbers", "lon", "lat")
+    rows = cut(spread(rows.withColumn("node", alike.cast("string"))))
+    # rows that agree in everything compared are one node: copies, however many, are blocked and compared once
+    attributes = [c.split()[0] for c in FIELDS.split(", ") if c.split()[0] not in ("side", "id")]
+    once = rows.groupBy("side", F.col("node").alias("id")).agg(*[F.first(c).alias(c) for c in attributes])
+    nodes = cut(spread(once.select(*[c.split()[0] for c in FIELDS.split(", ")])))
     vectors, weights = token_vectors(nodes), token_weights(nodes)
     embedded = cut(embed(nodes, vectors, weights, "o").withColumn("h", F.xxhash64("side", "id")))
     light = [c.split()[0] for c in FIELDS.split(", ") if c.split()[0] in ("id", "city", "strict", "core", "short", "town", "numbers", "lon", "lat")]
@@ -302,4 +308,6 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     probability = 1 / (1 + F.exp(-(F.lit(slope) * F.col("cosine") + F.lit(offset))))
     # the exact comparison and the calibrated cosine are two witnesses: a match is wrong only if both are
     confidence = 1 - (1 - 0.9 * F.col("score")) * (1 - probability)
-    return with_vectors(accepted.join(vague, "o_id", "left_anti")).select("m_id", "o_id", "cosine", "score", confidence.alias("confidence"))
+    found = with_vectors(accepted.join(vague, "o_id", "left_anti")).select(F.col("m_id").alias("m_node"), F.col("o_id").alias("o_node"), "cosine", "score", confidence.alias("confidence"))
+    member = lambda s: rows.filter(F.col("side") == s).select(F.col("node").alias(f"{s}_node"), F.col("id").alias(f"{s}_id"))
+    return found.join(member("m"), "m_node").join(member("o"), "o_node").select("m_id", "o_id", "cosine", "score", "confidence")
