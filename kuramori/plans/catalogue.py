@@ -14,7 +14,7 @@ from kuramori.functions import shapes
 from kuramori.functions import text as X
 from kuramori.functions.geometry import haversine_m, plausible
 from kuramori.functions.mesh import cell_box, code_of
-from kuramori.operators import lookup, spatial, tables
+from kuramori.operators import lookup, selection, spatial, tables
 from kuramori.operators.dedupe import best_row, ranked
 from kuramori.plans import pipelines
 from kuramori.plans import views as V
@@ -769,3 +769,52 @@ def zone_families(spark, d):
 def value_column_profile(spark, d):
     """Which columns hold numbers."""
     return pipelines.numeric_share(V.points(spark, d), ["inundation_depth_max_m", "scenario"])
+
+
+@query(f"SELECT point_id FROM {G} g, (SELECT min(x)-0.001 AS x0, max(x)+0.001 AS x1, min(y)-0.001 AS y0, max(y)+0.001 AS y1 FROM {P} p WHERE located AND code = '13905') b WHERE lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1")
+def points_in_bounds(spark, d):
+    """Hazard points in the padded bounds of one municipality's records."""
+    targets = V.records(spark, d).filter("located and code = '13905'")
+    return selection.in_bounds(V.points(spark, d), targets, ("lon", "lat"), ("x", "y")).select("point_id")
+
+
+@query(f"SELECT scenario, area, count(*) AS wet, max(depth) AS deepest FROM {G} g WHERE depth > 0 GROUP BY 1, 2")
+def positive_points(spark, d):
+    """Points with water by scenario and area."""
+    return selection.positive_hazard(V.points(spark, d), "depth").groupBy("scenario", "area").agg(F.count("*").alias("wet"), F.max("depth").alias("deepest"))
+
+
+@query(f"""WITH s AS (SELECT facility_name || '|' || code AS facility, nullif(address_raw,'') AS address, floor(coalesce(geocode_score, 0.0::DOUBLE)*100+0.5)::INT AS score FROM {L} l), p AS (SELECT facility, address, max(score) AS score FROM s WHERE address IS NOT NULL AND facility IS NOT NULL GROUP BY 1, 2),
+t AS (SELECT *, max(score) OVER (PARTITION BY facility) AS best FROM p) SELECT facility, min(address) AS address, max(score) AS score, CASE WHEN max(score) < 70 THEN 'below_threshold' WHEN count(*) > 1 THEN 'tie' ELSE 'accepted' END AS status FROM t WHERE score = best GROUP BY 1""")
+def best_scored_address(spark, d):
+    """Best scored address of each facility, ties and low scores to review."""
+    s = F.floor(F.coalesce("geocode_score", F.lit(0.0)) * 100 + 0.5).cast("int")
+    m = V.listings(spark, d).filter("facility_name is not null").select(F.concat_ws("|", "facility_name", "code").alias("facility"), F.nullif("address_raw", F.lit("")).alias("address"), s.alias("score"))
+    return selection.best_or_review(m, "facility", "address", "score")
+
+
+@query("SELECT city_code, gml_id, year_of_construction FROM buildings QUALIFY row_number() OVER (PARTITION BY city_code ORDER BY year_of_construction DESC NULLS LAST, gml_id) = 1")
+def latest_building(spark, d):
+    """Newest building of each municipality."""
+    return selection.latest(table(spark, d, "buildings"), "city_code", "year_of_construction", [F.col("gml_id")]).select("city_code", "gml_id", "year_of_construction")
+
+
+@query(f"SELECT code, coalesce(arg_min(trim(facility_name), museum_id) FILTER (WHERE trim(coalesce(facility_name,'')) <> ''), '') AS first_name, coalesce(arg_min(trim(notes), museum_id) FILTER (WHERE trim(coalesce(notes,'')) <> ''), '') AS first_note FROM {L} l GROUP BY 1")
+def first_filled_values(spark, d):
+    """First filled name and note of the listings of a municipality."""
+    pick = lambda c: selection.first_or_longest(F.col(c), F.col("museum_id"))
+    return V.listings(spark, d).groupBy("code").agg(pick("facility_name").alias("first_name"), pick("notes").alias("first_note"))
+
+
+@query(None)
+def buildings_with_records(spark, d):
+    """Names and owners of the records matched to each building, back-filled through the list of their ids."""
+    links = V.records(spark, d).select("record_uid", F.explode("matched_building_ids").alias("gml_id")).groupBy("gml_id").agg(tables.sorted_unique(F.col("record_uid").cast("string")).alias("record_ids"))
+    return selection.backfilled(links, "record_ids", V.records(spark, d), "record_uid", ["name", "owner"])
+
+
+@query(f"SELECT museum_id, CASE WHEN n LIKE '国立%' OR n LIKE '%国立大学%' THEN 'national' WHEN n LIKE '東京都%' OR n LIKE '都立%' THEN 'metropolitan' WHEN regexp_matches(n, '区立|市立|町立|村立') THEN 'municipal' WHEN length(m) > 0 AND starts_with(n, m) THEN 'municipal' WHEN regexp_matches(n, '大学|学園|学院') THEN 'university' ELSE 'unknown' END AS sector FROM (SELECT museum_id, coalesce(facility_name,'') AS n, coalesce(municipality_name,'') AS m FROM {L} l)")
+def facility_sectors(spark, d):
+    """sector a facility's name speaks of."""
+    n, m = F.coalesce("facility_name", F.lit("")), F.coalesce("municipality_name", F.lit(""))
+    return V.listings(spark, d).select("museum_id", C.ownership(n, m).alias("sector"))

@@ -173,3 +173,9 @@ def load_config(path: str, defaults: dict) -> dict:
             raise ValueError("no YAML parser here; use JSON") from e
         return deep_merged(defaults, yaml.safe_load(text) or {})
     return deep_merged(defaults, json.loads(text))
+
+
+def city_model_files(folder: str, code: str = "") -> list[str]:
+    """City-model files whose name speaks of buildings; with a code only those in a folder or file of that municipality."""
+    found = [str(p) for p in sorted(Path(folder).rglob("*.gml")) if re.search(r"bldg|building", p.name, re.I)]
+    return [p for p in found if not code or re.search(rf"(?<!\d){code}(?!\d)", p)]

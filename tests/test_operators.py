@@ -107,3 +107,33 @@ def test_components_against_union_find(spark, edges):
         root[max(x, y)] = min(x, y)
     df = spark.createDataFrame(edges, "a long, b long")
     assert {r.node: r.component for r in connected_components(df, "a", "b").collect()} == {n: find(n) for n in root}
+
+
+def test_selections(spark):
+    from kuramori.operators import selection as S
+
+    df = spark.createDataFrame([("a", "x", 80), ("a", "x", 10), ("b", "x", 80), ("b", "y", 80), ("c", "x", 69), ("d", None, 99)], "k string, v string, s int")
+    assert {r.k: (r.v, r.status) for r in S.best_or_review(df, "k", "v", "s").collect()} == {"a": ("x", "accepted"), "b": ("x", "tie"), "c": ("x", "below_threshold")}
+    y = spark.createDataFrame([("a", 2020, "p"), ("a", 2021, "r"), ("a", 2021, "q"), ("b", None, "z")], "k string, y int, n string")
+    assert {r.k: r.n for r in S.latest(y, "k", "y", [F.col("n")]).collect()} == {"a": "q", "b": "z"}
+    t = spark.createDataFrame([(1, " "), (2, "ab"), (3, "abc"), (4, "xyz")], "o int, v string")
+    assert tuple(t.agg(S.first_or_longest(F.col("v"), F.col("o")), S.first_or_longest(F.col("v"), F.col("o"), True)).first()) == ("ab", "abc")
+    assert t.filter("o = 1").agg(S.first_or_longest(F.col("v"), F.col("o"))).first()[0] == ""
+    kinds = spark.createDataFrame([(1, "museum"), (2, "art"), (3, "history")], "o int, v string")
+    assert kinds.agg(S.facility_type(F.col("v"), F.col("o"))).first()[0] == "art" and kinds.limit(0).agg(S.facility_type(F.col("v"), F.col("o"))).first()[0] == "museum"
+    wet = spark.createDataFrame([(0.5, "0"), (0.0, "1"), (-9999.0, "2"), (None, None)], "d double, r string")
+    assert S.positive_hazard(wet, "d", "r").count() == 2
+    assert S.one_name(df, "v", "x") == "x" and S.area_code("13905") == ("municipality", "13905")
+    for bad in ("1390", "99001", "x"):
+        with pytest.raises(ValueError):
+            S.area_code(bad)
+    with pytest.raises(ValueError):
+        S.one_name(df, "v", "q")
+    assert S.without_columns(df, "k|s").columns == ["v"] and S.with_columns(df, ["k", "new"]).columns == ["k", "v", "s", "new"]
+    lists = spark.createDataFrame([("2; 1", ""), ("9", "own")], "ids string, name string")
+    r = spark.createDataFrame([(1, "一"), (2, "二"), (9, "九")], "id long, name string")
+    assert {x.ids: x.name for x in S.backfilled(lists, "ids", r, "id", ["name"]).collect()} == {"2; 1": "二;一", "9": "own"}
+    box = S.box_around(139.0, 35.0, 1.0)
+    p = spark.createDataFrame([(139.0, 35.0), (139.2, 35.0)], "x double, y double")
+    assert S.near_extent(p, box, ("x", "y")).count() == 1 and S.near_extent(p, None, ("x", "y")).count() == 2
+    assert S.in_bounds(p, p.limit(0), ("x", "y"), ("x", "y")).count() == 0
