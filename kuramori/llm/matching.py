@@ -37,6 +37,7 @@ WALKS, STEPS, DIMENSIONS = 4, 6, 32
 TABLES, BITS, PROBES = (8, 6, 8), 13, 6  # tables per view: name, place, letters of the name in any order
 CALIBRATION_PAIRS = 20_000
 NEAR_M, FAR_M = 250.0, 700.0
+AT_M, BESIDE_M = 45.0, 150.0  # an unnamed element at a listing, or beside it
 # Words of things that serve or surround a facility, and uses of an element that isn't a facility itself.
 SERVES = re.compile(r"駐車場|駐輪場|バス停|案内板|案内所|売店|トイレ|便所|喫煙所|停留所|前\s*$|入口交差点|ポスト")
 OTHER_USES = {"parking", "bicycle_parking", "bus_stop", "bus_station", "shop", "cafe", "restaurant", "information", "toilets", "library", "community_centre", "school", "bench"}
@@ -237,7 +238,9 @@ def pair_score(p: dict) -> float:
         return 0.0
     supported = bool(address) or (distance is not None and distance <= NEAR_M)
     if not p["o_core"]:  # an unnamed element: the place alone must speak for it
-        return 0.5 if address and (distance is None or distance <= NEAR_M) or distance is not None and distance <= 45 and address is not False else 0.0
+        if address and (distance is None or distance <= NEAR_M) or distance is not None and distance <= AT_M and address is not False:
+            return 0.5
+        return 0.4 if distance is not None and distance <= BESIDE_M and address is not False else 0.0
     if p["m_strict"] != p["o_strict"]:
         return 0.0
     name = same_name(p["m_core"], p["o_core"], p["m_short"], p["o_short"], supported)
@@ -302,12 +305,15 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     sample = with_vectors(few).select("cosine", "agree").collect()  # the bounded calibration sample
     slope, offset = calibrate(np.array([r[0] for r in sample]), np.array([r[1] for r in sample])) if sample else (0.0, 0.0)
     accepted = ranked.filter("score > 0")
-    # an unnamed element must point to one facility only
-    unnamed = accepted.filter("o_core = ''").groupBy("o_id").agg(F.count_distinct("m_strict").alias("kinds"), F.count_distinct(F.substring("m_core", -2, 2)).alias("names"))
-    vague = unnamed.filter("kinds > 1 or names > 2").select("o_id")
+    # an unnamed element must point to one facility only, both where it stands and, for listings a little away, in the surroundings
+    unnamed, named = accepted.filter("o_core = ''"), accepted.filter("o_core <> ''")
+    several = lambda df: df.groupBy("o_id").agg(F.count_distinct("m_strict").alias("kinds"), F.count_distinct(F.substring("m_core", -2, 2)).alias("names")).filter("kinds > 1 or names > 2").select("o_id")
+    at = unnamed.filter("score >= 0.5")
+    beside = unnamed.filter("score < 0.5").join(several(unnamed), "o_id", "left_anti")
+    accepted = named.unionByName(at.join(several(at), "o_id", "left_anti").select(*named.columns)).unionByName(beside.select(*named.columns))
     probability = 1 / (1 + F.exp(-(F.lit(slope) * F.col("cosine") + F.lit(offset))))
     # the exact comparison and the calibrated cosine are two witnesses: a match is wrong only if both are
     confidence = 1 - (1 - 0.9 * F.col("score")) * (1 - probability)
-    found = with_vectors(accepted.join(vague, "o_id", "left_anti")).select(F.col("m_id").alias("m_node"), F.col("o_id").alias("o_node"), "cosine", "score", confidence.alias("confidence"))
+    found = with_vectors(accepted).select(F.col("m_id").alias("m_node"), F.col("o_id").alias("o_node"), "cosine", "score", confidence.alias("confidence"))
     member = lambda s: rows.filter(F.col("side") == s).select(F.col("node").alias(f"{s}_node"), F.col("id").alias(f"{s}_id"))
     return found.join(member("m"), "m_node").join(member("o"), "o_node").select("m_id", "o_id", "cosine", "score", "confidence")
