@@ -32,7 +32,7 @@ from kuramori.llm.uniform import consistent_text
 from kuramori.session import cut, spread
 
 BUCKETS = 1 << 16
-RESERVOIR, NEIGHBOUR_TOKENS = 12, 8
+RESERVOIR, NEIGHBOUR_TOKENS = 8, 8
 WALKS, STEPS, DIMENSIONS = 4, 6, 32
 TABLES, BITS, PROBES = (8, 6, 8), 13, 6  # tables per view: name, place, letters of the name in any order
 CALIBRATION_PAIRS = 20_000
@@ -117,6 +117,7 @@ def walks(nodes: DataFrame, seed: int = 11) -> DataFrame:
     for r in few.select("token", "n", "some").toLocalIterator():
         near[r["token"], r["n"] - 1, : len(r["some"])] = r["some"]
     shipped = nodes.sparkSession.sparkContext.broadcast(near)
+    del near
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shipped.value
@@ -175,7 +176,9 @@ def embed(nodes: DataFrame, vectors: np.ndarray, weights: np.ndarray, probing: s
     """Every row with its vector and its bucket keys; rows of side ``probing`` also get the keys of their nearest other buckets."""
     unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     sc = nodes.sparkSession.sparkContext
-    shipped = sc.broadcast((unit - unit[weights > 0].mean(axis=0), weights))
+    unit -= unit[weights > 0].mean(axis=0)
+    shipped = sc.broadcast((unit, weights))
+    del unit
     planes = np.random.default_rng(seed).normal(size=(3, max(TABLES), BITS, DIMENSIONS)).astype(np.float32)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

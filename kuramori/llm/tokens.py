@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 VOCABULARY = os.environ.get("KURAMORI_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 # Fixed value: the split pattern that belongs to byte-level BPE vocabularies.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LONGEST_WORD = 400  # characters of one pattern piece encoded at once: longer letter runs are cut here, in linear time
+PART = 8_000  # characters encoded at once: an endless run of letters is cut here, which keeps the time linear and may cost a token
 
 
 @lru_cache(maxsize=2)
@@ -35,15 +35,12 @@ def count(text: str | None, path: str = VOCABULARY) -> int:
 
 
 def _parts(text: str) -> Iterator[str]:
-    """The text in pieces no pattern piece of which is longer than LONGEST_WORD; short texts stay whole."""
-    if len(text) <= LONGEST_WORD:
-        yield text
-        return
+    """The whole text in parts of at most PART characters, cut at white space where there is some in the second half of a part."""
     at = 0
     while at < len(text):
-        end = min(len(text), at + 20 * LONGEST_WORD)
-        if end < len(text):  # cut at white space if there is any in the second half, where the pattern cuts too
-            cut = max(text.rfind(" ", at + 10 * LONGEST_WORD, end), text.rfind("\n", at + 10 * LONGEST_WORD, end))
+        end = min(len(text), at + PART)
+        if end < len(text):
+            cut = max(text.rfind(" ", at + PART // 2, end), text.rfind("\n", at + PART // 2, end))
             end = cut if cut > at else end
         yield text[at:end]
         at = end
