@@ -14,7 +14,7 @@ from kuramori.functions import shapes
 from kuramori.functions import text as X
 from kuramori.functions.geometry import haversine_m, plausible
 from kuramori.functions.mesh import cell_box, code_of
-from kuramori.operators import lookup, selection, spatial, tables
+from kuramori.operators import lookup, selection, similar, spatial, tables
 from kuramori.operators.dedupe import best_row, ranked
 from kuramori.plans import pipelines
 from kuramori.plans import views as V
@@ -671,11 +671,11 @@ def name_address_links(spark, d):
 
 @query(None)
 def similar_names(spark, d):
-    """Ratcliff/Obershelp similarity of listings and map elements of one municipality that share their first letters."""
-    m = V.listings(spark, d).select("museum_id", X.facility_key(F.col("facility_name")).alias("a"), F.col("municipality_name").alias("city"))
-    e = V.elements(spark, d).select("osm_id", X.facility_key(F.col("osm_name")).alias("b"), F.col("addr_city").alias("city")).filter("b <> ''")
-    pairs = m.withColumn("k", F.substring("a", 1, 2)).join(e.withColumn("k", F.substring("b", 1, 2)), ["city", "k"])
-    return pairs.withColumn("ratio", X.ratio("a", "b")).filter("ratio >= 0.72").select("museum_id", "osm_id", F.round("ratio", 6).alias("ratio"))
+    """Ratcliff/Obershelp similarity of all listings and map elements, wherever they are, from 0.72."""
+    m = V.listings(spark, d).select("museum_id", X.facility_key(F.col("facility_name")).alias("a"))
+    e = V.elements(spark, d).select("osm_id", X.facility_key(F.col("osm_name")).alias("b"))
+    pairs = similar.similar_pairs(m, e, "a", "b", 0.72)
+    return pairs.join(m, "a").join(e, "b").select("museum_id", "osm_id", F.round("ratio", 6).alias("ratio"))
 
 
 # ---- composites ------------------------------------------------------------------------------------------------------------
