@@ -158,7 +158,7 @@ def candidate_score(name_level: Column, same_city: Column, same_host: Column, di
     name = F.when(name_level == "exact", 100).when(name_level == "contained", 70).when(name_level == "similar", 55).otherwise(0)
     city = F.when(same_city.isNull(), 0).when(same_city, 20).otherwise(-100)
     host = F.when(F.coalesce(same_host, F.lit(False)), 30).otherwise(0)
-    near = F.when(distance_m.isNull(), 0).when(distance_m <= 100, 30).when(distance_m <= 300, 20).when(distance_m <= 1000, 5).otherwise(-30)
+    near = F.when(distance_m <= 100, 30).when(distance_m <= 500, 20).when(distance_m <= 2000, 5).when(distance_m > 10_000, -30).otherwise(0)
     return (name + city + host + near).cast("int")
 
 

@@ -710,8 +710,8 @@ def record_depth_classes(spark, d):
 @query(None)
 def museum_map_audit(spark, d):
     """Audit of listings against map elements."""
-    m = V.listings(spark, d).filter("located").select("museum_id", "facility_name", "municipality_name", "longitude", "latitude")
-    e = V.elements(spark, d).filter("coalesce(osm_name, '') <> ''").withColumn("x", F.col("lon")).withColumn("y", F.col("lat")).filter(plausible(F.col("x"), F.col("y"))).drop("lon", "lat")
+    m = V.listings(spark, d).select("museum_id", "facility_name", "municipality_name", "coordinate_use", "longitude", "latitude")
+    e = V.elements(spark, d).filter("coalesce(osm_name, '') <> ''").withColumnsRenamed({"lon": "x", "lat": "y"})
     return pipelines.facility_audit(m, e)
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from kuramori.functions import classes as C
 from kuramori.functions import text as X
-from kuramori.functions.geometry import haversine_m
-from kuramori.operators import lookup, spatial, tables
+from kuramori.functions.geometry import haversine_m, plausible
+from kuramori.operators import lookup, similar, spatial, tables
 from kuramori.operators.components import connected_components
 from kuramori.operators.dedupe import best_row
+from kuramori.session import cut
 
 
 def match_records(records: DataFrame, buildings: DataFrame, match_shared: bool = False) -> DataFrame:
@@ -132,25 +133,57 @@ def value_column(df: DataFrame, preferred: Sequence[str], token: str = "", few:
     return order[0] if order else None
 
 
-def facility_audit(listings: DataFrame, elements: DataFrame, reach_m: float = 300.0) -> DataFrame:
+def facility_candidates(listings: DataFrame, elements: DataFrame) -> DataFrame:
+    """(museum_id, osm_id, level) of all elements whose name speaks for a listing, wherever they are: the equal name key, else one
+    letters key contained in the other, else similar ones (0.72)."""
+    keys = lambda df, key, name: df.select(key, X.facility_key(F.col(name)).alias("same"), X.letters_key(F.col(name)).alias(f"_{key}"))
+    m, e = cut(keys(listings, "museum_id", "facility_name")), cut(keys(elements, "osm_id", "osm_name"))
+    a, b = "_museum_id", "_osm_id"
+    levels = similar.contained_pairs(m, e, a, b).select(a, b, F.lit("contained").alias("level")).union(similar.similar_pairs(m, e, a, b, 0.72).select(a, b, F.lit("similar")))
+    loose = m.join(levels, a).join(e.select("osm_id", b), b).select("museum_id", "osm_id", "level")
+    exact = m.filter("same <> ''").join(e, "same").select("museum_id", "osm_id", F.lit("exact").alias("level"))
+    order = F.when(F.col("level") == "exact", 0).when(F.col("level") == "contained", 1).otherwise(2)
+    return exact.union(loose).groupBy("museum_id", "osm_id").agg(F.min_by("level", order).alias("level"))
+
+
+def facility_audit(listings: DataFrame, elements: DataFrame) -> DataFrame:
     """One row per listing: its best map element, whether elements disagree, and how many distinct facilities they are.
 
-    Elements of a listing are one facility if they share a website host or, with the exact name, lie within 100 m (components)."""
-    near = spatial.within_distance(listings, elements, reach_m, ("longitude", "latitude"), ("x", "y"))
-    level = F.when(F.col("osm_name") == F.col("facility_name"), "exact").when(X.contained(F.col("osm_name"), F.col("facility_name")), "contained").otherwise("none")
-    tags = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("tourism", "amenity")]), lambda e: e["v"].isNotNull()))
-    score = C.candidate_score(level, F.col("addr_city") == F.col("municipality_name"), F.lit(None).cast("boolean"), F.col("distance_m"))
-    c = near.withColumn("level", level).withColumn("score", score).withColumn("role", C.element_role(tags, F.col("osm_type"), F.col("level") == "exact", F.lit(False)))
-    c = c.filter("level <> 'none'").withColumn("host", X.url_host(F.col("website"))).select("museum_id", "osm_id", "osm_type", "level", "score", "role", "host", "x", "y")
+    Candidates come from names alone (``facility_candidates``); municipality and distance only score them, and a place that is missing
+    or impossible scores nothing. Elements of a listing are one facility if they share a website host or, with the exact name, lie within
+    100 m (components). ``matched`` is a single facility with a corroborated element: the exact name, no other municipality stated,
+    supported by its municipality or by a building's place within 2 km, and itself a facility."""
+    here, there = plausible(F.col("longitude"), F.col("latitude")), plausible(F.col("x"), F.col("y"))
+    m = listings.select("museum_id", "facility_name", "municipality_name", "coordinate_use", *[F.when(here, F.col(c)).alias(c) for c in ("longitude", "latitude")])
+    e = elements.withColumn("_there", there).withColumns({c: F.when(F.col("_there"), F.col(c)) for c in ("x", "y")}).drop("_there")
+    metres = F.when(F.col("longitude").isNotNull() & F.col("x").isNotNull(), haversine_m(F.col("longitude"), F.col("latitude"), F.col("x"), F.col("y")))
+    c = facility_candidates(m, e).join(m, "museum_id").join(e, "osm_id").withColumn("distance_m", metres)
+    tags = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("tourism", "amenity")]), lambda t: t["v"].isNotNull()))
+    city = C.municipality_evidence(F.col("municipality_name"), F.concat_ws(" ", "addr_city", "addr_full"))
+    exact_name = F.col("level") == "exact"
+    c = c.withColumn("city", city).withColumn("role", C.element_role(tags, F.col("osm_type"), exact_name, F.lit(False)))
+    same_city = F.when(F.col("city") == "match", True).when(F.col("city") == "conflict", False)
+    c = c.withColumn("score", C.candidate_score(F.col("level"), same_city, F.lit(None).cast("boolean"), F.col("distance_m")))
+    placed = F.coalesce((F.col("coordinate_use") == "building_candidate") & (F.col("distance_m") <= 2000), F.lit(False))
+    sure = exact_name & (F.col("city") != "conflict") & ((F.col("city") == "match") | placed) & F.col("role").isin("facility_building", "facility_feature")
     node = F.concat_ws("|", "museum_id", F.col("osm_id").cast("string"))
-    c = c.withColumn("node", node)
+    c = cut(c.select("museum_id", "osm_id", "osm_type", "level", "score", "role", sure.alias("sure"), X.url_host(F.col("website")).alias("host"), node.alias("node")))
     same_host = c.filter("host <> ''").groupBy("museum_id", "host").agg(F.min("node").alias("a")).join(c.select("museum_id", "host", "node"), ["museum_id", "host"]).select("a", "node")
-    exact = c.filter("level = 'exact'").select("museum_id", "node", "x", "y")
-    close = exact.join(exact.select("museum_id", F.col("node").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay")), "museum_id").filter("a < node").filter(haversine_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay")) <= 100).select("a", "node")
-    part = connected_components(same_host.union(close), "a", "node").withColumnRenamed("component", "facility")
+    # elements of one exact name are close or not whatever the listing: found once per name, then a star per listing
+    named = e.select("osm_id", X.facility_key(F.col("osm_name")).alias("same"), "x", "y").filter("same <> '' and x is not null")
+    other = named.select(F.col("osm_id").alias("other_id"), F.col("same").alias("other_same"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    close = spatial.within_distance(other, named, 100.0, ("ox", "oy"), ("x", "y")).filter("same = other_same and osm_id <= other_id")
+    spots = connected_components(close, "osm_id", "other_id").select(F.col("node").alias("osm_id"), F.col("component").alias("spot"))
+    at = c.filter("level = 'exact'").select("museum_id", "osm_id", "node").join(spots, "osm_id")
+    same_spot = at.groupBy("museum_id", "spot").agg(F.min("node").alias("a")).join(at, ["museum_id", "spot"]).select("a", "node")
+    part = connected_components(same_host.union(same_spot), "a", "node").withColumnRenamed("component", "facility")
     g = c.join(part, "node", "left").withColumn("facility", F.coalesce("facility", "node"))
-    best = F.min_by(F.struct("osm_id", "osm_type", "score", "role"), F.struct(C.role_preference(F.col("role"), F.col("osm_type")), -F.col("score"), "osm_type", "osm_id"))
-    audit = g.groupBy("museum_id").agg(F.count_distinct("facility").alias("facilities"), F.count("*").alias("candidates"), best.alias("best"), F.bool_or(F.col("role") == "supporting_poi").alias("supporting"))
-    out = listings.select("museum_id").join(audit, "museum_id", "left")
-    status = F.when(F.col("best").isNull(), "no_candidate").when(F.col("facilities") > 1, "review").otherwise("matched")
+    row, order = F.struct("osm_id", "osm_type", "score", "role"), F.struct(C.role_preference(F.col("role"), F.col("osm_type")), -F.col("score"), "osm_type", "osm_id")
+    groups = g.groupBy("museum_id", "facility").agg(F.min_by(row, order).alias("best"), F.min(order).alias("order"), F.count("*").alias("n"), F.bool_or("sure").alias("sure"))
+    audit = groups.groupBy("museum_id").agg(
+        F.count("*").alias("facilities"), F.sum("n").alias("candidates"), F.count_if("sure").alias("sure"),
+        F.min_by("best", "order").alias("first"), F.min_by(F.when(F.col("sure"), F.col("best")), F.when(F.col("sure"), F.col("order"))).alias("corroborated"),
+    )
+    out = listings.select("museum_id").join(audit, "museum_id", "left").withColumn("best", F.when(F.col("sure") == 1, F.col("corroborated")).otherwise(F.col("first")))
+    status = F.when(F.col("best").isNull(), "no_candidate").when(F.col("sure") == 1, "matched").otherwise("review")
     return out.select("museum_id", F.coalesce("facilities", F.lit(0)).alias("facilities"), F.coalesce("candidates", F.lit(0)).alias("candidates"), "best.osm_id", "best.role", "best.score", status.alias("status"))

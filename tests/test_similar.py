@@ -2,7 +2,7 @@ import difflib
 import random
 
 from kuramori.operators import similar
-from kuramori.plans import catalogue
+from kuramori.plans import catalogue, pipelines
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,21 @@ def test_similar_names_over_municipalities_and_first_letters(spark, monkeypatch)
     got = {(r.museum_id, r.osm_id) for r in catalogue.similar_names(spark, "").collect()}
     key = lambda df, c, k: df.select(k, catalogue.X.facility_key(F.col(c)).alias("n")).collect()
     assert got == {(x[0], y[0]) for x in key(m, "facility_name", "museum_id") for y in key(e, "osm_name", "osm_id") if x.n and y.n and ratio(x.n, y.n) >= 0.72}
+
+
+def test_audit_by_names_keeps_every_listing(spark):
+    m = [
+        ("exact", "桐磯美術館", "甲市", "none", 139.0, 35.0), ("nowhere", "桐磯美術館", "甲市", "none", None, None), ("impossible", "桐磯美術館", "乙市", "building_candidate", 0.0, 0.0),
+        ("swapped", "静織瀬植物園輝瑞", "甲市", "none", 139.0, 35.0), ("inside", "沢神洲科学館", "甲市", "none", 139.0, 35.0), ("none", "何もない庫", "甲市", "none", 139.0, 35.0),
+    ]
+    e = [
+        (1, "way", "桐磯・美術館", 139.005, 35.0, "甲市", None, "museum", None, None), (2, "node", "桐磯美術館", 139.0055, 35.0, None, None, "museum", None, None),
+        (3, "node", "輝瑞静織瀬植物園", 140.5, 35.0, None, None, "museum", None, None), (4, "node", "市立沢神洲科学館分館別棟収蔵庫", None, None, "丙市", None, None, None, None),
+    ]
+    listings = spark.createDataFrame(m, "museum_id string, facility_name string, municipality_name string, coordinate_use string, longitude double, latitude double")
+    elements = spark.createDataFrame(e, "osm_id long, osm_type string, osm_name string, x double, y double, addr_city string, addr_full string, tourism string, amenity string, website string")
+    got = {r.museum_id: (r.status, r.osm_id, r.candidates, r.facilities, r.score) for r in pipelines.facility_audit(listings, elements).collect()}
+    assert got == {
+        "exact": ("matched", 1, 2, 1, 140), "nowhere": ("matched", 1, 2, 1, 120), "impossible": ("review", 1, 2, 1, 0),
+        "swapped": ("review", 3, 1, 1, 25), "inside": ("review", 4, 1, 1, -30), "none": ("no_candidate", None, 0, 0, None),
+    }
