@@ -8,8 +8,8 @@ from there (double damage); where nothing is shorter than the text as it stands,
 to U+FFFD stay lost, but for punctuation with one possible reading in the models; a text that keeps U+FFFD, control or
 private-use characters is reported as damaged though not (wholly) restored.
 
-The dictionaries are the only fitted part: per language at most ``SAMPLE_DOCS`` documents chosen by the hash of their text,
-themselves without any candidate. Every document is examined whole. Defined results: null and empty texts are undamaged."""
+The dictionaries are fitted to at most ``SAMPLE_DOCS`` passages per language, distinct ones from anywhere in the texts, chosen by
+their hash and themselves without any candidate; the seen characters are those of all texts without one. Every document is examined whole. Defined results: null and empty texts are undamaged."""
 
 from __future__ import annotations
 
@@ -24,8 +24,10 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kuramori.session import spread
+
 SAMPLE_DOCS = 500  # per language, after the hash order
-SAMPLE_CHARS = 4_000  # of each of them, for the dictionaries alone
+SAMPLE_CHARS = 4_000  # of a passage, for the dictionaries alone
 DICTIONARY_BYTES = 112_640
 CHAIN_BITS, STEP_BITS, UNSEEN_BITS, MIN_GAIN_BITS = 10, 6, 14, 8
 MAX_STEPS = 3
@@ -241,20 +243,47 @@ def has_candidate(text: str) -> bool:
     return bool(_CERTAIN.search(text)) or any(stretches(line, w, r) for line in text.split("\n") if not line.isascii() for w, r in STEPS)
 
 
+def passages(text: str) -> list[str]:
+    """The whole text in pieces of at most ``SAMPLE_CHARS`` characters."""
+    return [text[i : i + SAMPLE_CHARS] for i in range(0, len(text), SAMPLE_CHARS)]
+
+
+def seen_characters(documents: DataFrame, text: str = "text") -> dict[str, int]:
+    """How often each character occurs in the distinct undamaged texts; as many rows as there are characters come to the driver."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[str] = Counter()
+        for pdf in batches:
+            for t in pdf["t"]:
+                if not has_candidate(t):
+                    seen.update(t)
+        yield pd.DataFrame({"c": list(seen), "n": list(seen.values())}).astype({"c": "str", "n": "int64"})
+
+    distinct = spread(documents.filter(F.length(text) > 0).select(F.col(text).alias("t")).distinct())
+    return {r["c"]: r["n"] for r in distinct.mapInPandas(count, "c string, n long").groupBy("c").agg(F.sum("n").alias("n")).collect()}
+
+
 def fit(documents: DataFrame, text: str = "text", lang: str = "lang") -> tuple[dict[str, bytes], dict[str, int]]:
-    """Dictionaries and seen characters from a bounded sample per language; the sample alone comes to the driver."""
-    w = Window.partitionBy(lang).orderBy(F.xxhash64(text), text)
-    doc = documents.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(lang, F.substring(text, 1, SAMPLE_CHARS).alias(text))
-    few = doc.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= 2 * SAMPLE_DOCS).limit(64 * SAMPLE_DOCS).collect()
+    """Dictionaries from a bounded sample of distinct passages per language, and the characters of all undamaged texts; the sample
+    and the characters alone come to the driver."""
+
+    @F.pandas_udf("array<string>")
+    def parts(s: pd.Series) -> pd.Series:
+        return s.map(passages)
+
+    whole = documents.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("_l"), F.col(text).alias("_t"))
+    piece = whole.select("_l", F.explode(parts("_t")).alias("_p")).withColumn("_h", F.xxhash64("_p"))
+    # copies have one hash and one rank: only hashes are ranked, and the passages of the chosen ones fetched once each
+    ranked = piece.select("_l", "_h").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("_l").orderBy("_h"))).filter(F.col("_n") <= 2 * SAMPLE_DOCS)
+    chosen = piece.join(ranked.select("_l", "_h"), ["_l", "_h"], "left_semi").groupBy("_l", "_h").agg(F.min("_p").alias("_p"))
+    few = sorted(chosen.limit(64 * SAMPLE_DOCS).collect(), key=lambda r: (r["_l"], r["_h"]))
     by: dict[str, list[str]] = {}
     for r in few:
-        own = by.setdefault(r[lang], [])
-        if len(own) < SAMPLE_DOCS and not has_candidate(r[text]):
-            own.append(r[text])
-    seen: Counter[str] = Counter()
+        own = by.setdefault(r["_l"], [])
+        if len(own) < SAMPLE_DOCS and not has_candidate(r["_p"]):
+            own.append(r["_p"])
     out = {}
     for language, texts in sorted(by.items()):
-        seen.update("".join(texts))
         lines = [p.encode() for t in texts for p in re.split(r"(?<=[。.!?])|\n", t) if p]
         if not lines:
             continue
@@ -262,7 +291,7 @@ def fit(documents: DataFrame, text: str = "text", lang: str = "lang") -> tuple[d
             out[language] = zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, lines)) // 8), lines).as_bytes()
         except zstandard.ZstdError:  # too little to train on: the sample itself is the dictionary
             out[language] = b"\n".join(lines)[:DICTIONARY_BYTES]
-    return out, dict(seen)
+    return out, seen_characters(documents, text)
 
 
 def restored_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -59,3 +59,19 @@ def test_table(spark, corpus):
     got = restored_documents(docs).collect()
     assert [(r.doc_id, r.status, r.restored == JA[0] * 400) for r in got] == [(9000, "restored", True)]
     assert restored_documents(docs.limit(0)).count() == 0
+
+
+def test_copies_do_not_fill_the_sample(spark, corpus, monkeypatch):
+    from kuramori.llm import mojibake
+
+    rows = [t for lang, t in corpus if lang == "de"]
+    hashed = spark.createDataFrame([(t,) for t in rows], "t string").selectExpr("t", "xxhash64(t) as h").distinct().orderBy("h").collect()
+    first = hashed[0].t  # the text whose copies come first in hash order
+    late = "x" * 10_000 + "\nDie Öße ist ňur hier."
+    docs = spark.createDataFrame([(i, t, "de") for i, t in enumerate([first] * 3000 + rows + [late])], "doc_id long, text string, lang string")
+    sampled: list[bytes] = []
+    monkeypatch.setattr(mojibake.zstandard, "train_dictionary", lambda size, lines: sampled.extend(lines) or (_ for _ in ()).throw(mojibake.zstandard.ZstdError("kept")))
+    _, seen = fit(docs)
+    assert any("ňur".encode() in x for x in sampled) and len({x for x in sampled}) > 50
+    assert seen["ň"] == 1 and set("".join(rows)) <= set(seen)
+    assert seen["D"] <= sum(t.count("D") for t in set(rows) | {late})
