@@ -8,6 +8,7 @@
 3. A row's vector is the weighted mean of its tokens' vectors, in three views: name, place, and the letters of
    the name in any order (the score is the cosine of name and place together). Rows are blocked by
    hyperplane hashing with several tables per view; the smaller table also probes the buckets behind its least certain bits.
+   An equi-join on strict keys adds every pair the exact comparison can accept, so that no match depends on the tables' sizes.
 4. Candidates are reranked exactly: strict kind and branch, edit-tolerant name, distance, address, municipality.
 5. Cosine scores of the reranked pairs are calibrated on a bounded sample of candidates into the confidence.
 
@@ -265,6 +266,47 @@ def candidates(embedded: DataFrame, left: str, right: str) -> DataFrame:
     return a.join(b, "k").filter("m_c = o_c or m_c = '' or o_c = ''").select("m_h", "o_h").distinct()
 
 
+def place_keys(side: str, town: str, numbers: str, lon: float | None, lat: float | None) -> list[str]:
+    """Keys one of which two rows share if their addresses agree (a town may be missing on one side) or they lie within NEAR_M."""
+    out = []
+    if numbers:
+        out += [f"no:{numbers}:{town}", f"m-open:{numbers}" if side == "o" or not town else "", f"o-open:{numbers}" if side == "m" or not town else ""]
+    if lon is not None and lat is not None and not (math.isnan(lon) or math.isnan(lat)):
+        h = NEAR_M / 111_195
+        w = h / math.cos(math.radians(50))  # the widest circle of the place window
+        x, y = math.floor(lon / w), math.floor(lat / h)
+        around = (-1, 0, 1) if side == "o" else (0,)
+        out += [f"at:{x + i}:{y + j}" for i in around for j in around]
+    return [k for k in out if k]
+
+
+def strict_keys(side: str, city: str, strict: str, core: str, short: bool, town: str, numbers: str, lon: float | None, lat: float | None) -> list[str]:
+    """Keys one of which every pair with a ``pair_score`` shares: names equal or one slip apart, short forms within a municipality,
+    agreeing places of one kind, and the places of unnamed elements."""
+    places = place_keys(side, town, numbers, lon, lat)
+    out = [f"u:{k}" for k in places] if side == "m" or not core else []
+    if core:
+        out += [f"p:{strict}:{k}" for k in places]
+        out += [f"n:{strict}:{x}" for x in ({core} | leave_one_out(core) if len(core) > 3 else {core})]
+        out += [f"s:{strict}:{city}:{x}" for x in ({core} if short else {core[:3], core[-3:]} | leave_one_out(core[-3:]))]
+    return sorted(set(out))
+
+
+def strict_candidates(rows: DataFrame, left: str, right: str) -> DataFrame:
+    """Distinct (m_h, o_h) of the rows that share a strict key: all that the exact comparison can accept, whatever the hash tables find."""
+    columns = ["side", "city", "strict", "core", "short", "town", "numbers", "lon", "lat"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keys = [[xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in strict_keys(*r)] for r in pdf[columns].itertuples(index=False, name=None)]
+            yield pd.DataFrame({"side": pdf["side"], "h": pdf["h"], "city": pdf["city"], "k": keys})
+
+    keyed = rows.select("h", *columns).mapInPandas(run, "side string, h long, city string, k array<long>").select("side", "h", "city", F.explode("k").alias("k"))
+    a = keyed.filter(F.col("side") == left).select("k", F.col("h").alias("m_h"), F.col("city").alias("m_c"))
+    b = keyed.filter(F.col("side") == right).select("k", F.col("h").alias("o_h"), F.col("city").alias("o_c"))
+    return a.hint("merge").join(b, "k").filter("m_c = o_c or m_c = '' or o_c = ''").select("m_h", "o_h").distinct()
+
+
 def calibrate(cosine: np.ndarray, agree: np.ndarray) -> tuple[float, float]:
     """Logistic curve (slope, offset) from cosine to the share of pairs the exact comparison agrees with (Newton's method, ridge 1)."""
     x = np.column_stack([cosine, np.ones_like(cosine)])
@@ -293,7 +335,7 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     embedded = cut(embed(nodes, vectors, weights, "o").withColumn("h", F.xxhash64("side", "id")))
     light = [c.split()[0] for c in FIELDS.split(", ") if c.split()[0] in ("id", "city", "strict", "core", "short", "town", "numbers", "lon", "lat")]
     side = lambda s, cols: embedded.filter(F.col("side") == s).select(*[F.col(c).alias(f"{s}_{c}") for c in ["h", *cols]])
-    pairs = candidates(embedded, "m", "o")
+    pairs = candidates(embedded, "m", "o").union(strict_candidates(embedded, "m", "o")).distinct()
     both = pairs.join(side("m", light), "m_h").join(side("o", light), "o_h")
     cosine = F.aggregate(F.zip_with("m_vector", "o_vector", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v.cast("double"))
     names = [f"{s}_{c}" for s in ("m", "o") for c in light if c != "id"]

@@ -49,3 +49,30 @@ def test_calibration_is_monotone():
     x = np.linspace(-1, 1, 400)
     slope, offset = matching.calibrate(x, (x > 0.3).astype(float))
     assert slope > 0 and 1 / (1 + np.exp(-(slope * 0.9 + offset))) > 0.9
+
+
+def test_strict_keys_lose_no_acceptable_pair(spark, monkeypatch):
+    m, o, _ = tables(spark)
+    a, b = features(spark, m, o)
+    ms, os_ = a.collect(), b.filter("not served").collect()
+    rng = np.random.default_rng(8)
+    fields = ("city", "strict", "core", "short", "town", "numbers", "lon", "lat")
+    as_pair = lambda x, y: {f"{s}_{c}": (float("nan") if v is None else v) for s, r in (("m", x), ("o", y)) for c in fields for v in (r[c],)}
+    vary = lambda r, **new: r.asDict() | new
+    left = [vary(r) for r in ms] + [vary(r, town="") for r in ms[:20]] + [vary(r, lon=None, lat=None) for r in ms[:20]]
+    right = [vary(r) for r in os_] + [vary(r, core="", strict="") for r in os_[:30]] + [vary(r, core=r.core[:3], short=True, lon=None, lat=None) for r in os_[:30]]
+    right += [vary(r, lon=r.lon + d[0], lat=r.lat + d[1]) for r in os_ if r.lon is not None for d in (rng.uniform(-0.003, 0.003, 2),)]
+    keys = lambda r, side: set(matching.strict_keys(side, *(r[c] for c in fields)))
+    right_keys = [keys(y, "o") for y in right]
+    accepted = 0
+    for x in left:
+        own = keys(x, "m")
+        for y, k in zip(right, right_keys):
+            if matching.pair_score(as_pair(x, y)) > 0:
+                accepted += 1
+                assert own & k, (x, y)
+    assert accepted > 150
+    # with hash tables that find nothing, the matches are the same
+    full = {(r.m_id, r.o_id) for r in matching.match(a, b).collect()}
+    monkeypatch.setattr(matching, "candidates", lambda e, *_: e.selectExpr("h as m_h", "h as o_h").limit(0))
+    assert {(r.m_id, r.o_id) for r in matching.match(a, b).collect()} == full and full
