@@ -270,7 +270,9 @@ def _stars(keyed: DataFrame) -> DataFrame:
 
 
 def resolve(profile: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(field, key, entity): equal entity means the same facility, property or owner."""
+    """(field, key, entity): equal entity means the same facility, property or owner. Raises if the last of the rounds still merges.
+
+    Only facility profiles have initials; owners and properties are settled by their keys in one pass of components."""
     profile = cut(profile)
     nodes = profile.groupBy("node").agg(F.first("field").alias("field"), F.first("strict").alias("strict"), F.first("initials").alias("initials"))
     keyed = profile.select("node", "field", "strict", F.explode("keys").alias("key")).distinct().select("node", F.xxhash64("field", "strict", "key").alias("k"))
@@ -288,4 +290,6 @@ def resolve(profile: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
             break
         moves = connected_components(found, "entity", "target").withColumnRenamed("node", "entity")
         entity = cut(entity.join(moves, "entity", "left").select("node", F.coalesce("component", "entity").alias("entity"), "field", "strict", "initials"))
+    else:
+        raise ValueError(f"names still merge after {max_rounds} rounds")
     return profile.select("field", "key", "node").join(entity.select("node", "entity"), "node").select("field", "key", "entity").distinct()

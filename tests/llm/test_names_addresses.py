@@ -1,3 +1,5 @@
+import pytest
+
 from kuramori.llm import address, names
 
 TOWNS = [("13901", "霞浜区", "Kasumihama", "桐磯", "Kiriiso", "910-0001"), ("13901", "霞浜区", "Kasumihama", "磯桐", "Isokiri", "910-0002"), ("13901", "霞浜区", "Kasumihama", "桜浜ヶ丘", "Sakurahama-gaoka", "910-0121"), ("13902", "桐ノ瀬区", "Kirinose", "桐磯", "Kiriiso", "911-0001")]
@@ -68,3 +70,11 @@ def test_owners(spark):
     got = entities(spark, "owner", rows)
     assert sorted(same) in got and sorted(person) in got and ["丘静虹糸霞神社"] in got and ["霞浜区教育委員会"] in got
     assert sorted(["雪杉幸霞鶴の保存会", "雪杉幸霞鶴 保存會"]) in got
+
+
+def test_unsettled_merging_raises(spark):
+    rows = [("facility_name", "a", 1, "s", "x", ["Cx"], ["!ab0"]), ("facility_name", "b", 2, "s", "y", ["Cy"], ["?ab0"])]
+    profile = spark.createDataFrame(rows, "field string, key string, node long, strict string, core string, keys array<string>, initials array<string>")
+    assert len({r.entity for r in names.resolve(profile).collect()}) == 1
+    with pytest.raises(ValueError):
+        names.resolve(profile, max_rounds=1)
