@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -222,6 +223,24 @@ def _neighbours(forms: DataFrame, order: list[Column], window: int) -> DataFrame
     return windows.select("form", "town", "settled", F.explode("others").alias("o")).select("form", "town", "settled", F.col("o.form").alias("form_b"), F.col("o.town").alias("town_b"), F.col("o.settled").alias("settled_b"))
 
 
+def left_out(town: str) -> list[str]:
+    """The town with up to two letters left out: towns at most two edits apart share one."""
+    return sorted({"".join(c) for n in range(min(2, len(town)) + 1) for c in combinations(town, len(town) - n)})
+
+
+def _unsettled_pairs(forms: DataFrame) -> DataFrame:
+    """All pairs of an unsettled form and another of the same house numbers and municipality that may be alike, however many there are."""
+
+    @F.pandas_udf("array<string>")
+    def keys(s: pd.Series) -> pd.Series:
+        return s.map(left_out)
+
+    here = forms.join(forms.filter("settled = ''").select("numbers", "city").distinct(), ["numbers", "city"], "left_semi")
+    keyed = here.select("numbers", "city", "form", "town", "settled", F.explode(keys("town")).alias("_k"))
+    a, b = keyed.filter("settled = ''"), keyed.select("numbers", "city", "_k", *[F.col(c).alias(f"{c}_b") for c in ("form", "town", "settled")])
+    return a.join(b, ["numbers", "city", "_k"]).filter("form <> form_b").select("form", "town", "settled", "form_b", "town_b", "settled_b").distinct()
+
+
 def matching_forms(forms: DataFrame, window: int = WINDOW, likeness: float = LIKENESS) -> DataFrame:
     """(form, form_b) of the pairs that the passes judge to be one place."""
     passes = [[F.col("town"), F.col("form")], [F.reverse("town"), F.col("form")], [F.array_join(F.array_sort(F.split("town", "")), ""), F.col("form")]]
@@ -230,6 +249,8 @@ def matching_forms(forms: DataFrame, window: int = WINDOW, likeness: float = LIK
         found = _neighbours(forms, order, window)
         pairs = found if pairs is None else pairs.union(found)
 
+    pairs = pairs.union(_unsettled_pairs(forms))
+
     @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([town_likeness(x, y) for x, y in zip(a, b)], dtype="float64")

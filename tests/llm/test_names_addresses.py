@@ -78,3 +78,12 @@ def test_unsettled_merging_raises(spark):
     assert len({r.entity for r in names.resolve(profile).collect()}) == 1
     with pytest.raises(ValueError):
         names.resolve(profile, max_rounds=1)
+
+
+def test_unsettled_forms_meet_beyond_the_window(spark):
+    middle = [("13901", "1-2-3", f"桐{chr(0x4E00 + i)}{chr(0x6000 + i)}{chr(0x7000 + i)}{t}", "") for i in range(40) for t in ("台", "磯")]
+    towns = [("13901", "1-2-3", "桐磯浜桜台", "桐磯浜桜台"), ("13901", "1-2-3", "滝磯浜桜沢", "")] + middle
+    forms = spark.createDataFrame([(f"f{i}", *t) for i, t in enumerate(towns)], "form string, city string, numbers string, town string, settled string")
+    truth = {frozenset((f"f{i}", f"f{j}")) for i, a in enumerate(towns) for j, b in enumerate(towns) if i < j and address.town_likeness(a[2], b[2]) >= address.LIKENESS}
+    got = {frozenset((r.form, r.form_b)) for r in address.matching_forms(forms, window=1).collect()}
+    assert frozenset(("f0", "f1")) in truth and got == truth
