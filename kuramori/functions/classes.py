@@ -23,7 +23,8 @@ FLOOD_RANKS = [
     (5, "10–20 m", 10.0, 20.0, "5 m以上"),
     (6, "20 m以上", 20.0, None, "5 m以上"),
 ]
-METRES = {"": 1.0, "m": 1.0, "meter": 1.0, "metre": 1.0, "meters": 1.0, "metres": 1.0, "cm": 0.01, "centimeter": 0.01, "centimetre": 0.01, "centimeters": 0.01, "centimetres": 0.01, "mm": 0.001, "millimeter": 0.001, "millimetre": 0.001, "millimeters": 0.001, "millimetres": 0.001}
+# How many of a unit make a metre, and how many make an hour.
+METRES = {"": 1.0, "m": 1.0, "meter": 1.0, "metre": 1.0, "meters": 1.0, "metres": 1.0, "cm": 100.0, "centimeter": 100.0, "centimetre": 100.0, "centimeters": 100.0, "centimetres": 100.0, "mm": 1000.0, "millimeter": 1000.0, "millimetre": 1000.0, "millimeters": 1000.0, "millimetres": 1000.0}
 HOURS = {"": 1.0, "h": 1.0, "hr": 1.0, "hrs": 1.0, "hour": 1.0, "hours": 1.0, "min": 60.0, "mins": 60.0, "minute": 60.0, "minutes": 60.0, "s": 3600.0, "sec": 3600.0, "secs": 3600.0, "second": 3600.0, "seconds": 3600.0}
 WATER_TYPES = ["river_flooding", "high_tide", "tsunami"]
 INUNDATION_TYPES = ["river_flooding", "inland_flooding", "reservoir_flooding", "high_tide", "tsunami"]
@@ -96,24 +97,23 @@ def rank_category(c: Column) -> Column:
     return out.otherwise(DEPTH_CLASSES[4])
 
 
-def in_unit(value: Column, unit: Column, factors: Mapping[str, float], divide: bool) -> Column:
-    """Value in the base unit; null for an unknown unit."""
+def in_unit(value: Column, unit: Column, per_base: Mapping[str, float]) -> Column:
+    """Value in the base unit, of which ``per_base`` says how many of a unit make one; null for an unknown unit."""
     u = F.lower(F.trim(F.coalesce(unit, F.lit(""))))
     out = None
-    for name, f in factors.items():
-        v = value / f if divide else value * f
-        out = F.when(u == name, v) if out is None else out.when(u == name, v)
+    for name, n in per_base.items():
+        out = F.when(u == name, value / n) if out is None else out.when(u == name, value / n)
     return out
 
 
 def metres(value: Column, unit: Column) -> Column:
     """Length in metres; no unit means metres, an unknown one gives null."""
-    return in_unit(value, unit, {k: 1.0 if v == 1.0 else (100.0 if v == 0.01 else 1000.0) for k, v in METRES.items()}, True)
+    return in_unit(value, unit, METRES)
 
 
 def hours(value: Column, unit: Column) -> Column:
     """Duration in hours; no unit means hours, an unknown one gives null."""
-    return in_unit(value, unit, HOURS, True)
+    return in_unit(value, unit, HOURS)
 
 
 def display(code: Column, label: Column) -> Column:

@@ -6,19 +6,21 @@ whether an object, a list or a scalar stands in a place, yet each variant ends i
 (building, part, risk, scenario), which share the supertype keys ``raw_id``, ``node_key``, ``parent_key`` and ``variant``.
 
 Defined results: a payload that is null, empty, or not complete JSON gives no rows; null entries in lists don't count;
+an object or list that stands as a string of JSON, at the top or inside, counts as what it holds;
 an object without an id is no building; unknown keys are ignored and never clash, as columns are chosen by state."""
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kuramori.functions.classes import HOURS, METRES
 from kuramori.operators.dedupe import best_row
 from kuramori.session import cut
 
@@ -34,8 +36,6 @@ RISK_TYPES = {
     "LandSlideRiskAttribute": ("landslide", "土砂災害"),
     "FireSpreadRiskAttribute": ("fire_spread", "延焼"),
 }
-TO_METRES = {"m": 1.0, "cm": 0.01, "mm": 0.001}
-TO_HOURS = {"h": 1.0, "hour": 1.0, "min": 1 / 60, "s": 1 / 3600}
 
 RISK_FIELDS = (
     "risk_index int, risk_type string, risk_attribute_type string, risk_type_ja string, "
@@ -80,9 +80,22 @@ AUTOMATON = (
 )
 
 
+def decoded(value: Any) -> Any:
+    """The object or list behind a string of JSON, however often it was encoded; any other value as it is."""
+    inner = value
+    while isinstance(inner, str) and inner.lstrip()[:1] in ("{", "[", '"'):
+        try:
+            inner = json.loads(inner)
+        except (ValueError, RecursionError):
+            return value
+    return inner if isinstance(inner, (dict, list)) else value
+
+
 def classify(value: Any, label: str = "") -> Node:
-    """Bottom-up run: children first, then the first transition that applies. Lists pass their label on to their items."""
+    """Bottom-up run: children first, then the first transition that applies. Lists pass their label on to their items; an object or
+    list delivered as a string of JSON is read as what it holds."""
     kids: dict[str, list[Node]] = {}
+    value = decoded(value)
     if isinstance(value, dict):
         for key, child in value.items():
             kids.setdefault(local_name(key), []).append(classify(child, local_name(key)))
@@ -146,9 +159,9 @@ def _measure(nodes: list[Node] | None) -> tuple[float | None, str]:
     return None, ""
 
 
-def _converted(value: float | None, unit: str, table: dict[str, float], default: str) -> float | None:
-    factor = table.get(unit.strip().lower() or default)
-    return None if value is None or factor is None else value * factor
+def _converted(value: float | None, unit: str, per_base: Mapping[str, float]) -> float | None:
+    n = per_base.get(unit.strip().lower())
+    return None if value is None or n is None else value / n
 
 
 def risk_bodies(nodes: list[Node] | None) -> Iterator[tuple[str, Node, str]]:
@@ -213,7 +226,7 @@ def values(name: str, body: Node) -> dict[str, Any]:
         out[f"{COLUMN_OF[field]}_code"], out[f"{COLUMN_OF[field]}_codespace"] = _coded(body.kids.get(field))
     depth, uom = _measure(body.kids.get("depth"))
     hours, unit = _measure(body.kids.get("duration"))
-    return out | {"depth_value": depth, "depth_uom": uom, "depth_m": _converted(depth, uom, TO_METRES, "m"), "duration_value": hours, "duration_uom": unit, "duration_h": _converted(hours, unit, TO_HOURS, "h")}
+    return out | {"depth_value": depth, "depth_uom": uom, "depth_m": _converted(depth, uom, METRES), "duration_value": hours, "duration_uom": unit, "duration_h": _converted(hours, unit, HOURS)}
 
 
 def _shred_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

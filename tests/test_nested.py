@@ -39,12 +39,30 @@ def test_bad_payloads_and_redelivery(spark):
     assert found(spark, []) == []
 
 
+def test_encoded_strings_at_both_levels(spark):
+    inner = {"TsunamiRiskAttribute": {"rank": {"code": "2"}, "scenarios": json.dumps([{"scale": 1}, None])}}
+    building = {"gml_id": "b", "bldgDisasterRiskAttribute": json.dumps(inner)}
+    expected = [("b", 1, 1, "TsunamiRiskAttribute", "2")]
+    assert found(spark, [json.dumps(building)]) == expected
+    assert found(spark, [json.dumps(json.dumps(building))]) == expected
+    assert found(spark, [json.dumps(json.dumps(json.dumps({"Building": json.dumps(building)})))]) == expected
+    assert found(spark, [json.dumps(json.dumps(building)[:-1]), json.dumps(json.dumps(building))[:-1], '"[1, 2]"', '"\\"\\""']) == []
+
+
 def test_units_and_codes(spark):
     body = {"depth": {"#text": "250", "@uom": "cm"}, "duration": {"value": 30, "uom": "min"}, "adminType": {"#text": "3", "@codeSpace": "x/y.xml"}}
     r = subtype_tables(raw(spark, [json.dumps({"gml_id": "b", "bldgDisasterRiskAttribute": {"HighTideRiskAttribute": body}})]))["risks"].first()
     assert (r.depth_value, r.depth_uom, r.depth_m, r.duration_h, r.admin_type_code, r.admin_type_codespace) == (250.0, "cm", 2.5, 0.5, "3", "x/y.xml")
 
 
+def test_every_unit_name_is_known(spark):
+    body = lambda d, h: {"depth": {"value": 250, "uom": d}, "duration": {"value": 30, "uom": h}}
+    units = [("centimetre", "minutes"), ("metres", "hours"), ("furlong", "moon")]
+    payloads = [json.dumps({"gml_id": f"b{i}", "bldgDisasterRiskAttribute": {"HighTideRiskAttribute": body(*u)}}) for i, u in enumerate(units)]
+    got = {r.building_gml_id: (r.depth_m, r.duration_h) for r in subtype_tables(raw(spark, payloads))["risks"].collect()}
+    assert got == {"b0": (2.5, 0.5), "b1": (250.0, 30.0), "b2": (None, None)}
+
+
 def test_states():
     assert classify({"code": "1"}, "rank").state == "code.pair"
     assert classify({"value": 1, "uom": "m"}, "depth").state == "measure"
