@@ -9,9 +9,11 @@ any shuffle. Defined results: null and blank values give no mention and score 0;
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
@@ -46,21 +48,49 @@ def similarity(a: Counter[str], b: Counter[str]) -> float:
     return 2 * sum((a & b).values()) / total if total else 0.0
 
 
+def elements(bag: Counter[str]) -> list[tuple[str, int]]:
+    """The bag as a set: the n-th occurrence of a token is an element of its own."""
+    return [(t, n) for t, most in bag.items() for n in range(most)]
+
+
 class Matcher:
-    """The automaton and the token sets of one reference list."""
+    """The automaton and the token index of one reference list."""
 
-    def __init__(self, entries: list[tuple[str, str]]) -> None:
-        self.code: dict[str, str] = {}
+    def __init__(self, entries: list[tuple[str, str]], threshold: float = SIMILARITY) -> None:
+        self.threshold = threshold
+        codes: dict[str, set[str]] = {}
         for code, name in entries:
             if key := folded(name):
-                self.code.setdefault(key, code)
+                codes.setdefault(key, set()).add(code)
+        self.code = {key: next(iter(c)) if len(c) == 1 else UNMATCHED for key, c in codes.items()}
         self.automaton = ahocorasick.Automaton()
         for key, code in self.code.items():
             if len(key) >= (5 if key.isascii() else 2):
                 self.automaton.add_word(key, (len(key), code))
         if len(self.automaton):
             self.automaton.make_automaton()
-        self.bags = [(key, tokens(key), code) for key, code in self.code.items() if len(key) >= 3]
+        self.bags = [(tokens(key), code) for key, code in self.code.items() if len(key) >= 3]
+        self.often = Counter(e for bag, _ in self.bags for e in elements(bag))
+        self.holding: dict[tuple[str, int], list[int]] = {}
+        for k, (bag, _) in enumerate(self.bags):
+            for e in self._rarest(bag):
+                self.holding.setdefault(e, []).append(k)
+
+    def _rarest(self, bag: Counter[str]) -> list[tuple[str, int]]:
+        """The rarest elements, so many that two bags of at least the threshold share one: their overlap is at least
+        threshold / (2 - threshold) of either."""
+        own = sorted(elements(bag), key=lambda e: (self.often[e], e))
+        return own[: len(own) - math.ceil(self.threshold / (2 - self.threshold) * len(own) - 1e-9) + 1]
+
+    def similar(self, forms: list[Counter[str]]) -> dict[str, float]:
+        """Best similarity per code, of all entries of at least the threshold."""
+        out: dict[str, float] = {}
+        for form in forms:
+            for k in {k for e in self._rarest(form) for k in self.holding.get(e, ())}:
+                bag, code = self.bags[k]
+                if (score := similarity(form, bag)) >= self.threshold:
+                    out[code] = max(out.get(code, 0.0), score)
+        return out
 
     def mentions(self, key: str) -> list[tuple[int, int, str]]:
         """(start, end, code) of longest non-overlapping mentions, longest first."""
@@ -85,18 +115,20 @@ class Matcher:
         core = folded(bare) or key
         for k in (key, core):
             if k in self.code:
-                return self.code[k], "mention", 1.0
+                return self.code[k], "mention" if self.code[k] != UNMATCHED else "tie", 1.0
         spans = self.mentions(core)
         if spans:
             longest = spans[0][1] - spans[0][0]
             best = {c for s, e, c in spans if e - s == longest}
             if len(best) == 1 and longest >= 3 and longest / len(core) >= 0.5:
                 return best.pop(), "mention", longest / len(core)
-        forms = {k: tokens(k) for k in (key, core)}  # an ending that looks like decoration may belong to the name
-        scored = sorted(((max(similarity(f, b) for f in forms.values()), code) for _, b, code in self.bags), reverse=True)
-        if scored and scored[0][0] >= SIMILARITY and not any(s == scored[0][0] and c != scored[0][1] for s, c in scored[1:8]):
-            return scored[0][1], "token_set", scored[0][0]
-        return UNMATCHED, "none", scored[0][0] if scored else 0.0
+        # an ending that looks like decoration may belong to the name
+        scores = self.similar([tokens(k) for k in dict.fromkeys((key, core))])
+        if not scores:
+            return UNMATCHED, "none", 0.0
+        top = max(scores.values())
+        best = [code for code, score in scores.items() if score == top]
+        return (best[0], "token_set", top) if len(best) == 1 and best[0] != UNMATCHED else (UNMATCHED, "tie", top)
 
 
 def reference_entries(ref: DataFrame, code: str, names: list[str], lists: list[str]) -> list[tuple[str, str]]:
@@ -115,9 +147,10 @@ def map_values(df: DataFrame, value: str, entries: list[tuple[str, str]]) -> Dat
     """``df`` with ``match`` (struct code, how, score) for its column ``value``."""
 
     @F.pandas_udf("struct<code string, how string, score double>")
-    def matched(values: pd.Series) -> pd.DataFrame:
+    def matched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = Matcher(entries)
-        known = {v: m.match(v) for v in values.dropna().unique()}
-        return pd.DataFrame([known.get(v, (UNMATCHED, "empty", 0.0)) for v in values], columns=["code", "how", "score"])
+        for values in batches:
+            known = {v: m.match(v) for v in values.dropna().unique()}
+            yield pd.DataFrame([known.get(v, (UNMATCHED, "empty", 0.0)) for v in values], columns=["code", "how", "score"])
 
     return df.withColumn("match", matched(value))

@@ -4,18 +4,19 @@ The largest total size is found for which no source needs more repetitions than
 per document, a whole part and a fraction. The fraction is an inclusion probability, and the sample is drawn by the cube method:
 probabilities move through the null space of the balancing constraints (tokens and documents of the source) until they are 0 or 1.
 The flight runs in shards of a source (any document undecided at the end of a shard goes on to the next round, in fewer shards), so a
-source of any size is spread over the cluster and only the landing, at most ``LANDING`` documents per source, is decided at one place.
+source of any size is spread over the cluster and only the landing, about ``LANDING`` documents per source, is decided at one place,
+for tokens and documents together.
 
 Defined results: documents of size 0 are never used; sources without a target are left out, targets without documents are reported
 with share 0 and the others are scaled to what they can reach; the same seed gives the same mix."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kuramori.session import cut, spread
@@ -23,6 +24,7 @@ from kuramori.session import cut, spread
 SHARD = 20_000
 LANDING = 400
 EPS = 1e-9
+MAX_ROUNDS = 40
 
 
 def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -53,15 +55,30 @@ def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.n
 
 
 def landing(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Decide the last fractional documents so that the tokens deviate least: largest first, each to the side that keeps the sum."""
+    """Decide the last fractional documents (as many as there are constraints) together: of all ways to take or leave them, the one
+    in which tokens and number of documents deviate least, each relative to a mean document."""
     p = flight(prob, size, rng)
-    open_ = sorted((k for k in range(len(p)) if EPS < p[k] < 1 - EPS), key=lambda k: -size[k])
-    debt = 0.0
-    for k in open_:
-        take = (debt + p[k] * size[k]) >= 0.5 * size[k]
-        debt += p[k] * size[k] - (size[k] if take else 0.0)
-        p[k] = 1.0 if take else 0.0
-    return p
+    open_ = [k for k in range(len(p)) if EPS < p[k] < 1 - EPS]
+    mean = size.mean() if len(size) else 1.0
+
+    def off(take: tuple[int, ...]) -> float:
+        change = [t - p[k] for t, k in zip(take, open_)]
+        return abs(sum(c * size[k] for c, k in zip(change, open_))) / mean + abs(sum(change))
+
+    for k, take in zip(open_, min(product((1, 0), repeat=len(open_)), key=off)):
+        p[k] = float(take)
+    # what is left of the tokens' deviation is met by exchanging documents for others, one for one, which keeps their number
+    ours = np.array([k for k in range(len(p)) if EPS < prob[k] < 1 - EPS], dtype=int)
+    excess = float(((p - prob) * size)[ours].sum())
+    while True:
+        used, rest = ours[p[ours] == 1.0], ours[p[ours] == 0.0]
+        if not len(used) or not len(rest):
+            return p
+        after = excess - (size[used][:, None] - size[rest][None, :])
+        a, b = np.unravel_index(int(np.abs(after).argmin()), after.shape)
+        if abs(after[a, b]) >= abs(excess) - 0.5:
+            return p
+        p[used[a]], p[rest[b]], excess = 0.0, 1.0, float(after[a, b])
 
 
 def plan(sized: DataFrame, targets: DataFrame, source: str = "source") -> DataFrame:
@@ -96,11 +113,17 @@ def balanced_mix(sized: DataFrame, targets: DataFrame, key: str, source: str = "
     schema = ", ".join(f"`{c}` {t}" for c, t in items.dtypes)
     undecided = f"prob > {EPS} and prob < {1 - EPS}"
     settled = items.filter(f"not ({undecided})")
-    todo = items.filter(undecided)
-    for stage in range(40):
+    # some documents of every source, chosen by hash, stay out of the flights: with them the landing has enough to balance with
+    total = F.broadcast(items.filter(undecided).groupBy(source).agg(F.count("*").alias("_n")))
+    kept = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) < F.lit(landing_size / 2 * (1 << 30)) / F.col("_n")
+    split = cut(items.filter(undecided).join(total, source).withColumn("_kept", kept).select(*columns, "_kept"))
+    reserve, todo = split.filter("_kept").select(*columns), split.filter("not _kept").select(*columns)
+    for stage in range(MAX_ROUNDS):
         counts = todo.groupBy(source).agg(F.count("*").alias("_n"))
-        most = counts.agg(F.max("_n")).first()[0] or 0
-        final = most <= max(landing_size, 3)
+        final = (counts.agg(F.max("_n")).first()[0] or 0) <= max(landing_size, 3)
+        if final:
+            todo = todo.union(reserve)
+            counts = todo.groupBy(source).agg(F.count("*").alias("_n"))
         shards = F.lit(1).cast("long") if final else F.greatest(F.lit(1), F.ceil(F.col("_n") / shard)).cast("long")
         mixed = F.xxhash64(F.col(key), F.lit(seed), F.lit(stage))
         dealt = todo.join(F.broadcast(counts), source).withColumn("_shard", F.pmod(mixed, shards)).withColumn("_at", F.xxhash64(mixed)).drop("_n")
@@ -109,6 +132,8 @@ def balanced_mix(sized: DataFrame, targets: DataFrame, key: str, source: str = "
         if final:
             break
         todo = flown.filter(undecided)
+    else:
+        raise RuntimeError(f"documents are undecided after {MAX_ROUNDS} rounds")
     return settled.select(key, source, "tokens", (F.col("base") + F.round("prob").cast("int")).alias("uses")).filter("uses > 0")
 
 

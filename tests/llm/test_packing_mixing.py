@@ -19,6 +19,20 @@ def test_pack_respects_all_limits():
         packing.pack(np.array([[101.0, 1.0, 0.0]]), limits)
 
 
+def test_pack_binds_in_every_dimension():
+    rng = np.random.default_rng(4)
+    tokens_ = rng.integers(5, 400, 600).astype(float)
+    sizes = np.column_stack([tokens_, np.ones(600), tokens_ * rng.choice([0.3, 0.8, 1.0], 600)])
+    lim = packing.Limits.of(2048)
+    limits = np.array([lim.tokens, lim.segments, lim.loss_tokens], dtype=float)
+    home = packing.pack(sizes, limits)
+    fills = np.array([(sizes[home == b].sum(axis=0) / limits) for b in range(home.max() + 1)])
+    assert fills.max() <= 1 and len(set(fills.argmax(axis=1))) >= 2
+    # an item that bears more loss than allowed isn't split, and no other loss joins it
+    home = packing.pack(np.array([[100.0, 1, 100], [20, 1, 20], [20, 1, 0]]), np.array([130.0, 5, 85]))
+    assert home[0] == home[2] != home[1]
+
+
 def test_fill_containers(spark):
     rng = random.Random(2)
     rows = [(i, "s", rng.randrange(1, 300), 0) for i in range(900)] + [(1000, "s", 2500, 2000), (1001, "s", 0, 0), (1002, "s", 512, 512)]
@@ -59,6 +73,31 @@ def test_balanced_mix(spark):
     assert mixing.balanced_mix(sized.limit(0), targets, "doc_id").count() == 0
 
 
+def test_landing_keeps_tokens_and_documents():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        p, size = rng.random(40), rng.integers(1, 5000, 40).astype(float)
+        q = mixing.landing(p, size, rng)
+        assert set(q) <= {0.0, 1.0} and abs(q.sum() - p.sum()) <= 1 + 1e-6 and abs(((q - p) * size).sum()) <= size.max()
+    assert len(mixing.landing(np.empty(0), np.empty(0), rng)) == 0
+
+
+def test_undecided_documents_raise(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_ROUNDS", 1)
+    sized = spark.createDataFrame([(i, "a", 100 + i) for i in range(200)] + [(999, "b", 5000)], "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    with pytest.raises(RuntimeError):
+        mixing.balanced_mix(sized, targets, "doc_id", shard=100, landing_size=10)
+
+
+def test_counts_of_endless_white_space_are_exact():
+    text = "東瀬" + " \n" * 30_000 + "x  y"
+    enc = tokens.encoding(tokens.vocabulary())
+    assert tokens.count(text) == sum(len(enc._encode_single_piece(m.group())) for m in tokens._SPLIT.finditer(text))
+    for short in ("a  b\n\n c", "東瀬都 2024年", " x", "'s  "):
+        assert sum(len(enc._encode_single_piece(m.group())) for m in tokens._SPLIT.finditer(short)) == tokens.count(short)
+
+
 def test_token_counts(spark):
     assert tokens.count(None) == 0 and tokens.count("") == 0 and tokens.count("a" * 100_000) > 0
     df = spark.createDataFrame([(1, "one line", "clash"), (2, "prompt\nanswer", None), (3, None, None)], "doc_id long, text string, tokens string")
