@@ -1,14 +1,22 @@
 """Variant spellings of typed names, linked by merge-and-rematch resolution.
 
-A name is read into a *profile*: what must agree strictly (municipality, kind of facility or owner, branch, piece of a set), and
-a core that people misspell. Profiles are blocked by keys that any two spellings one slip apart share: the core with each
-character left out in turn (a wrong, missing, doubled or swapped letter), in reading order or as a bag of letters where parts are
-reordered. Profiles with a common key are merged (connected components), a merged profile carries all its spellings, and its
-initials: the openings and endings by which people shorten it. The richer profiles enter blocking again, now also by initials;
-a short form joins the one profile it can stand for, and the rounds go on until nothing merges.
+A name is read into a *profile*: what must agree strictly (municipality, kind of facility or owner, branch, piece of a set), a core
+that people misspell, the parts of the core, and its initials (the shortened forms by which people call it).
 
-Texts with equal profiles are one node from the start, so that copies, however many, cost nothing and no group is ever expanded
-while resolving. Defined results: null, empty and purely decorative texts have no profile; equal texts are the same node."""
+*Blocking proves the pair.* A block key is made so that two spellings sharing it are known to be variants: equal text, equal text
+but for one letter left out at the same position (a wrong letter), beside it (swapped neighbours) or on one side only (a missing or
+doubled letter), equal letters in any order but one, and so on. So no pair within a block is ever compared or listed: every
+block is a star, or a chain of neighbours. Looser keys (``loose_keys``) are made only for the spellings that share a *gate* (the
+same place; the same type and site, or type and thing) with another one.
+
+*Merge and rematch.* Spellings with a common key are merged (connected components). A merged profile unites all its spellings, whose
+keys stay in their blocks, and all its initials, and gains a consensus spelling made of the most frequent spelling of every part. The
+richer profiles enter blocking again: by the keys of their consensus, and by their initials, of which a short form joins the one
+profile it can stand for. The rounds go on until nothing merges; each takes at least one profile away, so they end.
+
+Texts with equal profiles are one node from the start, so that copies, however many, cost nothing. Defined results: null, empty and
+purely decorative texts have no profile; equal texts are the same node; names over ``LONG`` letters are compared whole, but by one
+slip at most."""
 
 from __future__ import annotations
 
@@ -18,7 +26,8 @@ from itertools import combinations
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kuramori.llm.address import municipality_code
@@ -27,7 +36,7 @@ from kuramori.llm.uniform import consistent_text
 from kuramori.operators.components import connected_components
 from kuramori.session import cut
 
-MAX_ROUNDS = 6
+LONG = 24  # letters of a core (or of a part of it) up to which two slips are tried
 # Kinds of facilities; the ways their names end, and the contracted endings used with the first letters of a name.
 FACILITY_KINDS = {
     "美術館": "美術館 美術ミュージアム artmuseum",
@@ -61,7 +70,7 @@ _LEGAL, _ADDRESSING, _COUNTER = re.compile(LEGAL_FORMS), re.compile(ADDRESSING),
 _PIECE = re.compile("|".join(PIECES.split()))
 _HAN = r"[一-鿿々]"
 
-Profile = tuple[str, str, list[str], list[str]]  # strict part, core, blocking keys, initials
+Profile = tuple[str, str, list[str], list[str], list[str], list[str]]  # strict part, core, parts, blocking keys, initials, gates
 
 
 def leave_one_out(text: str) -> set[str]:
@@ -77,6 +86,32 @@ def leave_out(text: str, n: int) -> set[str]:
     return {"".join(c) for c in combinations(text, max(0, len(text) - n))}
 
 
+def undoubled(text: str) -> str:
+    """Without the second of two equal neighbours."""
+    return re.sub(r"(.)\1", r"\1", text)
+
+
+def _brief(text: str) -> str:
+    """The text, or the digest of a long one: keys of long texts would else grow with the square of their length."""
+    return text if len(text) <= 2 * LONG else xxhash.xxh3_128_hexdigest(text)
+
+
+def slip_keys(text: str) -> list[str]:
+    """Keys of which two spellings at most one slip apart share one: ``C`` with the text, and ``~``, the letter left out and its
+    position before the text without it. Which rows of such a block are variants, ``_stars`` decides by letter and position."""
+    t = undoubled(text)
+    out = [f"C{_brief(t)}"]
+    if len(t) >= 4:
+        out += [f"~{t[i]}{i:06d}{_brief(t[:i] + t[i + 1 :])}" for i in range(len(t))]
+    return out
+
+
+def bag_keys(text: str) -> list[str]:
+    """Keys of the letters in any order; two texts share one exactly if they differ by one letter at most."""
+    t = "".join(sorted(text))
+    return [f"B{_brief(k)}" for k in sorted({t} | ({t[:i] + t[i + 1 :] for i in range(len(t))} if len(t) >= 4 else set()))]
+
+
 def _squeezed(text: str) -> str:
     """Without separators and the linking particle between ideographs."""
     s = re.sub(r"[\s・:,、/|]+", "", text)
@@ -99,7 +134,7 @@ def facility_profile(text: str, city: str, _kinds: object = None) -> Profile | N
     hits = list(_KIND.finditer(key))
     if not hits:
         core = _squeezed(key)
-        return (f"{city}||", core, [f"W{k}" for k in sorted(leave_one_out(core))], []) if core else None
+        return (f"{city}||", core, [core], slip_keys(core), [], []) if core else None
     hit = max(hits, key=lambda m: (len(m.group()), m.start()))
     kind, contracted = _KIND_OF[hit.group()], hit.group() in CONTRACTED
     branch = _BRANCH.search(key)
@@ -117,8 +152,8 @@ def facility_profile(text: str, city: str, _kinds: object = None) -> Profile | N
     strict = f"{city}|{kind}|{branch.group() if branch else ''}"
     if len(core) <= 3:
         ends = ["P", "S"] if link else ["S", "P"]
-        return strict, core, [f"A{core}"], [f"?{e}{core}{rank}" for rank, e in enumerate(ends)]
-    return strict, core, [f"C{k}" for k in sorted(leave_one_out(core))], [f"!P{core[:3]}", f"!S{core[-3:]}"]
+        return strict, core, [core], [f"A{core}"], [f"?{e}{core}{rank}" for rank, e in enumerate(ends)], []
+    return strict, core, [core], slip_keys(core), [f"!P{core[:3]}", f"!S{core[-3:]}"], []
 
 
 def owner_profile(text: str, _city: str = "", _kinds: object = None) -> Profile | None:
@@ -146,15 +181,30 @@ def owner_profile(text: str, _city: str = "", _kinds: object = None) -> Profile
         return None
     core = _squeezed("".join(parts))
     core = core[: -len(kind)] if kind and core.endswith(kind) and len(core) > len(kind) else core
-    orders = [core]
+    named, initials = [core], []
     if not kind and len(parts) == 2:
         a, b = (_squeezed(p) for p in parts)
-        core = a + b if len(a) <= len(b) else b + a
-        orders = [core, a + b, b + a]
-    keys = {f"C{k}" for o in orders for k in leave_one_out(o)} if kind != "教育委員会" else {f"C{core}"}
-    if not kind and len(core) >= 4:
-        keys.add("B" + "".join(sorted(core)))
-    return f"|{kind}|", core, sorted(keys), []
+        named = [a, b] if len(a) <= len(b) else [b, a]
+        initials = person_initials(*named) if len(a) != len(b) else []
+        core = "".join(named)
+    return f"|{kind}|", core, named, owner_keys(named, kind), initials, []
+
+
+def person_initials(family: str, given: str) -> list[str]:
+    """What a person's name answers to (family name and first letter), or asks for if no more than that is given."""
+    if not family or not given:
+        return []
+    return [f"!I{family}・{given[0]}"] if len(given) > 1 else [f"?I{family}・{given}0"]
+
+
+def owner_keys(named: list[str], kind: str) -> list[str]:
+    """Keys of an owner: one slip in either order of the parts; of a person, also all letters in any order."""
+    core = "".join(named)
+    if kind == "教育委員会":
+        return [f"C{_brief(core)}"]
+    orders = dict.fromkeys([core, "".join(reversed(named))])
+    keys = [k for o in orders for k in slip_keys(o)]
+    return sorted({*keys, f"B{_brief(''.join(sorted(core)))}"} if not kind and len(core) >= 4 else set(keys))
 
 
 class PropertyKinds:
@@ -191,13 +241,16 @@ def property_profile(text: str, city: str, kinds: PropertyKinds) -> Profile | No
         counted = _COUNTER.search(named[at + 1]) if at + 1 < len(named) else None
         named = named[:at] + named[at + 2 :]
         del counted
+    piece = ""
+    if m := next((m for m in map(_PIECE.search, named) if m), None):  # before the counters, which may begin with the piece's number
+        piece = m.group()
+        named = [w.replace(piece, "", 1) for w in named]
     named = [_COUNTER.sub("", w) or w for w in named]
     whole = _squeezed("".join(named))
     if not whole:
         whole = folded(text)
-        return (f"{city}||", whole, [f"W{whole}"], []) if whole else None
-    piece = ""
-    if m := _PIECE.search(whole):
+        return (f"{city}||", whole, [whole], [f"C{_brief(whole)}"], [], []) if whole else None
+    if not piece and (m := _PIECE.search(whole)):
         piece, whole = m.group(), whole[: m.start()] + whole[m.end() :]
         whole = _COUNTER.sub("", whole) or whole
     strict = f"{city}|{piece}|"
@@ -207,17 +260,28 @@ def property_profile(text: str, city: str, kinds: PropertyKinds) -> Profile | No
     kind = kinds.canonical[hit[2]] if hit else ""
     rest = whole[: hit[0]] + whole[hit[1] :] if hit else whole
     rest += _squeezed(inner)
-    bag = "".join(sorted(rest + kind))
-    keys = {f"B{k}" for k in leave_one_out(bag)}
-    initials: list[str] = []
+    keys = bag_keys(rest + kind)
+    core = "".join(sorted(rest)) + "|" + kind
     place = re.search(rf"{_HAN}{{2,4}}?(?:{'|'.join(PLACES.split())})", rest)
     if hit and place:
         site, thing = place.group(), rest[: place.start()] + rest[place.end() :]
         if 2 <= len(thing) <= 5:
-            low = lambda t, n: {t} | {t[:i] + t[i + 1 :] for i in range(len(t))} if len(t) > n else {t}
-            keys |= {f"T{hit[2]}|{a}|{b}" for a in low(site, 3) for b in low(thing, 2)}
-            keys |= {f"U{hit[2]}|{a}|{thing}" for a in leave_out(site, 2)} | {f"V{hit[2]}|{site}|{b}" for b in leave_out(thing, 2)}
-    return strict, "".join(sorted(rest)) + "|" + kind, sorted(keys), initials
+            gates = [f"T{hit[2]}|{x}" for x in _low(site, 3)] + [f"t{hit[2]}|{thing}"]
+            return strict, core, [hit[2], site, thing], keys, [f"!I{hit[2]}|{site[0]}|{thing}"], sorted(gates)
+    elif hit and 3 <= len(rest) <= 6:
+        return strict, core, [rest + kind], keys, [f"?I{hit[2]}|{rest[0]}|{rest[1:]}0"], []
+    return strict, core, [rest + kind], keys, [], []
+
+
+def _low(text: str, n: int) -> set[str]:
+    """The text and, if it is longer than ``n``, the text with each letter left out."""
+    return {text} | ({text[:i] + text[i + 1 :] for i in range(len(text))} if len(text) > n else set())
+
+
+def property_keys(code: str, site: str, thing: str) -> list[str]:
+    """Looser keys of a property: a slip in the site and one in the thing, or two in one of them and none in the other."""
+    keys = {f"T{code}|{a}|{b}" for a in _low(site, 3) for b in _low(thing, 2)}
+    return sorted(keys | {f"U{code}|{a}|{thing}" for a in leave_out(site, 2)} | {f"V{code}|{site}|{b}" for b in leave_out(thing, 2)})
 
 
 def place_cells(lon: str, lat: str, cell_deg: float = 0.002) -> Column:
@@ -230,16 +294,34 @@ def place_cells(lon: str, lat: str, cell_deg: float = 0.002) -> Column:
 PROFILES: dict[str, Callable] = {"facility_name": facility_profile, "owner": owner_profile, "name": property_profile}
 
 
-def supported_keys(core: str, evidence: list[str] | None) -> list[str]:
-    """Looser keys (two slips, or one in a shortened name), valid only together with a common place."""
-    loose = leave_out(re.sub(r"(.)\1", r"\1", core), 2) if len(core) >= 5 else leave_out(core, 1)
+def supported_keys(core: str, places: list[str]) -> list[str]:
+    """Looser keys of a facility (two slips, or one in a shortened name), valid only together with a common place."""
+    if len(core) > LONG:
+        return []
+    loose = leave_out(undoubled(core), 2) if len(core) >= 5 else leave_out(core, 1)
     loose |= {core[-3:], *leave_out(core[-3:], 1)} if len(core) >= 3 else set()
-    return [f"L{e}|{k}" for e in ([] if evidence is None else evidence) for k in sorted(loose) if len(k) >= 2]
+    return [f"L{e}|{k}" for e in places for k in sorted(loose) if len(k) >= 2]
+
+
+def loose_keys(field: str, core: str, parts: list[str], gates: list[str]) -> list[str]:
+    """Keys of the spellings that share the given gates with another."""
+    if field == "facility_name":
+        return supported_keys(core, gates)
+    return property_keys(*parts) if len(parts) == 3 else []
+
+
+def consensus_keys(field: str, strict: str, parts: list[str]) -> list[str]:
+    """All keys of a consensus spelling."""
+    if field == "owner":
+        return owner_keys(parts, strict.strip("|"))
+    if field == "name" and len(parts) == 3:
+        return property_keys(*parts)
+    return []
 
 
 def profiles(df: DataFrame, field: str, key: str, text: str, code: str | None, kind_entries: list[tuple[str, str]], evidence: str | None = None) -> DataFrame:
-    """(field, key, node, strict, core, keys, initials) of every text with a profile; no shuffle. ``evidence`` is an array of places
-    (grid cells) of the row: rows with a common one may differ by a second slip."""
+    """(field, key, node, strict, core, parts, keys, initials, gates) of every text with a profile; no shuffle. ``evidence`` is an array
+    of places (grid cells) of the row: rows with a common one may differ by a second slip."""
     cols = [(F.col(evidence) if evidence else F.lit(None).cast("array<string>")).alias("evidence"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"), (F.col(code) if code else F.lit(None).cast("string")).alias("code")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,42 +336,106 @@ def profiles(df: DataFrame, field: str, key: str, text: str, code: str | None, k
                         known.clear()
                     known[at] = read(t, municipality_code(c), kinds)
                 if p := known[at]:
-                    more = supported_keys(p[1], places) if places is not None and len(places) else []
-                    out.append((k, p[0], p[1], p[2] + more, p[3]))
-            yield pd.DataFrame(out, columns=["key", "strict", "core", "keys", "initials"])
+                    out.append((k, *p[:5], p[5] + (list(places) if places is not None else [])))
+            yield pd.DataFrame(out, columns=["key", "strict", "core", "parts", "keys", "initials", "gates"])
 
     rows = df.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(*cols)
-    out = rows.mapInPandas(run, "key string, strict string, core string, keys array<string>, initials array<string>")
-    return out.select(F.lit(field).alias("field"), "key", F.xxhash64(F.lit(field), "strict", "core").alias("node"), "strict", "core", "keys", "initials")
+    out = rows.mapInPandas(run, "key string, strict string, core string, parts array<string>, keys array<string>, initials array<string>, gates array<string>")
+    node = F.unhex(F.md5(F.concat_ws("|", F.lit(field), "strict", "core")))  # 128 bits: the key itself, at a fixed length
+    return out.select(F.lit(field).alias("field"), "key", node.alias("node"), "strict", "core", "parts", "keys", "initials", "gates")
+
+
+def _blocks(keyed: DataFrame) -> DataFrame:
+    """(node, k, at, letter) of rows (node, field, strict, key); ``at`` is the position of the letter left out, -1 for a whole key."""
+    slip = F.col("key").startswith("~")
+    whole = F.when(slip, F.concat(F.lit("C"), F.substring("key", 9, 1 << 20))).otherwise(F.col("key"))
+    at = F.when(slip, F.substring("key", 3, 6).cast("int")).otherwise(F.lit(-1))
+    return keyed.select("node", F.xxhash64("field", "strict", whole).alias("k"), at.alias("at"), F.when(slip, F.ascii(F.substring("key", 2, 1))).otherwise(F.lit(0)).alias("letter"))
+
+
+def _stars(blocks: DataFrame) -> DataFrame:
+    """(node, other) of proven variants, linear in the block whatever its size; one shuffle. A whole key links every row of its block to
+    its first holder (a letter left out of the longer text gives the shorter one, whole keys are equal). Rows with a letter left out are
+    linked to the row before them if the position is the same (a wrong letter), or the letter the same and the position the next."""
+    rows = blocks.repartition("k")
+    order, swaps = Window.partitionBy("k").orderBy("at", "node"), Window.partitionBy("k", "letter").orderBy("at", "node")
+    rows = rows.withColumn("first", F.first(F.struct("at", "node")).over(order)).withColumn("last", F.lag(F.struct("at", "node")).over(order))
+    rows = rows.withColumn("near", F.lag(F.struct("at", "node")).over(swaps))
+    ends = F.array(
+        F.when(F.col("first.at") == -1, F.col("first.node")),
+        F.when(F.col("last.at") == F.col("at"), F.col("last.node")),
+        F.when((F.col("at") >= 0) & (F.col("near.at") >= F.greatest(F.lit(0), F.col("at") - 1)), F.col("near.node")),
+    )
+    return rows.select("node", F.explode(ends).alias("other")).filter("other is not null and other <> node").distinct()
+
+
+def _gated(profile: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, field, strict, key) of the loose keys of the nodes that share a gate with another node."""
+    gates = profile.filter(F.size("gates") > 0).select("node", F.explode("gates").alias("gate"), F.xxhash64("field", "strict").alias("s")).distinct()
+    shared = gates.groupBy("s", "gate").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").select("s", "gate")
+    open_ = gates.join(shared, ["s", "gate"], "left_semi").groupBy("node").agg(F.collect_list("gate").alias("gates"))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keys = [loose_keys(f, c, list(p), list(g)) for f, c, p, g in zip(pdf["field"], pdf["core"], pdf["parts"], pdf["gates"])]
+            yield pdf[["node", "field", "strict"]].assign(keys=keys)
 
-def _stars(keyed: DataFrame) -> DataFrame:
-    """Edges from every node of a block to its least node: linear in the block, whatever its size."""
-    least = keyed.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("k", "a")
-    return keyed.join(least, "k").filter("node <> a").select("node", "a").distinct()
+    found = nodes.join(open_, "node").select("node", "field", "strict", "core", "parts", "gates")
+    return found.mapInPandas(run, "node binary, field string, strict string, keys array<string>").select("node", "field", "strict", F.explode("keys").alias("key"))
 
 
-def resolve(profile: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(field, key, entity): equal entity means the same facility, property or owner. Raises if the last of the rounds still merges.
+def _consensus(nodes: DataFrame, entity: DataFrame, changed: DataFrame) -> DataFrame:
+    """(node, field, strict, key): keys of the spelling made of the most frequent spelling of every part, of each changed entity. The node
+    is the entity's own. Counts only: no entity's spellings are ever gathered."""
+    several = entity.join(changed, "entity", "left_semi").join(nodes.filter(F.size("parts") > 1), "node")
+    long = several.select("entity", "field", "strict", F.size("parts").alias("n"), "rows", F.posexplode("parts").alias("pos", "part"))
+    most = long.groupBy("entity", "field", "strict", "n", "pos", "part").agg(F.sum("rows").alias("rows")).groupBy("entity", "field", "strict", "n", "pos").agg(F.max_by("part", F.struct("rows", "part")).alias("part"))
+    built = most.groupBy("entity", "field", "strict", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part"))), lambda x: x["part"]).alias("parts"))
 
-    Only facility profiles have initials; owners and properties are settled by their keys in one pass of components."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[["node", "field", "strict"]].assign(keys=[consensus_keys(f, s, list(p)) for f, s, p in zip(pdf["field"], pdf["strict"], pdf["parts"])])
+
+    new = built.select(F.col("entity").alias("node"), "field", "strict", "parts").mapInPandas(run, "node binary, field string, strict string, keys array<string>")
+    return new.select("node", "field", "strict", F.explode("keys").alias("key"))
+
+
+def _called(entity: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(entity, target): short forms and the only profile, of all spellings merged so far, that answers to them."""
+    known = entity.join(nodes.filter(F.size("initials") > 0).select("node", "field", "strict", "initials"), "node")
+    marks = known.select("entity", F.explode("initials").alias("i"), "field", "strict").withColumn("k", F.xxhash64("field", "strict", F.regexp_replace(F.substring("i", 2, 1 << 20), "[01]$", ""))).withColumn("asks", F.col("i").startswith("?"))
+    full = marks.filter("not asks").select("entity").distinct()
+    rich = marks.filter("not asks").groupBy("k").agg(F.min("entity").alias("target"), F.max("entity").alias("_z")).filter("target = _z").drop("_z")
+    short = marks.filter("asks").join(full, "entity", "left_anti").withColumn("rank", F.substring("i", -1, 1))
+    return short.join(rich, "k").groupBy("entity").agg(F.min_by("target", F.struct("rank", "target")).alias("target")).filter("entity <> target")
+
+
+def resolve(profile: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """(field, key, entity): equal entity means the same facility, property or owner. Goes on until nothing merges; with ``max_rounds``
+    it raises if the last of them still merges."""
+    for column in ("parts", "gates"):
+        if column not in profile.columns:
+            profile = profile.withColumn(column, F.array().cast("array<string>"))
+    if dict(profile.dtypes)["node"] != "binary":
+        profile = profile.withColumn("node", F.unhex(F.md5(F.col("node").cast("string"))))
     profile = cut(profile)
-    nodes = profile.groupBy("node").agg(F.first("field").alias("field"), F.first("strict").alias("strict"), F.first("initials").alias("initials"))
-    keyed = profile.select("node", "field", "strict", F.explode("keys").alias("key")).distinct().select("node", F.xxhash64("field", "strict", "key").alias("k"))
-    links = connected_components(_stars(keyed), "node", "a")
-    entity = cut(nodes.join(links, "node", "left").select("node", F.coalesce("component", "node").alias("entity"), "field", "strict", "initials"))
-    for _ in range(max_rounds):
-        marks = entity.select("entity", F.explode("initials").alias("i"), "field", "strict").withColumn("k", F.xxhash64("field", "strict", F.regexp_replace(F.substring("i", 2, 100), "[01]$", ""))).withColumn("asks", F.col("i").startswith("?"))
-        named = entity.groupBy("entity").agg(F.max(F.exists("initials", lambda i: i.startswith("!")).cast("int")).alias("full"))
-        rich = marks.filter("not asks").select("k", F.col("entity").alias("target")).distinct()
-        only = rich.groupBy("k").agg(F.min("target").alias("target"), F.max("target").alias("_z")).filter("target = _z").drop("_z")
-        short = marks.filter("asks").join(named.filter("full = 0"), "entity", "left_semi").withColumn("rank", F.substring("i", -1, 1))
-        found = short.join(only, "k").groupBy("entity").agg(F.min_by("target", F.struct("rank", "target")).alias("target")).filter("entity <> target")
-        found = cut(found)
-        if found.isEmpty():
+    nodes = cut(profile.groupBy("node").agg(*[F.first(c).alias(c) for c in ("field", "strict", "core", "parts", "initials", "keys")], F.count("*").alias("rows")))
+    own = nodes.select("node", "field", "strict", F.explode("keys").alias("key"))
+    blocks = cut(_blocks(own.union(_gated(profile, nodes))))
+    entity, links = None, _stars(blocks)
+    rounds = 0
+    while True:
+        moves = cut(connected_components(links, "node", "other").withColumnRenamed("node", "entity"))
+        if entity is None:
+            entity = nodes.select("node", F.col("node").alias("entity"))
+        elif moves.isEmpty():
             break
-        moves = connected_components(found, "entity", "target").withColumnRenamed("node", "entity")
-        entity = cut(entity.join(moves, "entity", "left").select("node", F.coalesce("component", "entity").alias("entity"), "field", "strict", "initials"))
-    else:
-        raise ValueError(f"names still merge after {max_rounds} rounds")
-    return profile.select("field", "key", "node").join(entity.select("node", "entity"), "node").select("field", "key", "entity").distinct()
+        elif rounds == max_rounds:
+            raise ValueError(f"names still merge after {max_rounds} rounds")
+        entity = cut(entity.join(moves, "entity", "left").select("node", F.coalesce("component", "entity").alias("entity")))
+        rounds += 1
+        changed = moves.select(F.col("component").alias("entity")).distinct()
+        fresh = _blocks(_consensus(nodes, entity, changed))
+        met = blocks.join(fresh.select("k").distinct(), "k", "left_semi").join(entity, "node").select(F.col("entity").alias("node"), "k", "at", "letter")
+        links = _stars(fresh.union(met).distinct()).union(_called(entity, nodes).select(F.col("entity").alias("node"), F.col("target").alias("other")))
+    return profile.select("field", "key", "node").distinct().join(entity, "node").select("field", "key", F.hex("entity").alias("entity")).distinct()
