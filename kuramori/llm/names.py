@@ -4,8 +4,8 @@ A name is read into a *profile*: what must agree strictly (municipality, kind of
 that people misspell, the parts of the core, and its initials (the shortened forms by which people call it).
 
 *Blocking proves the pair.* A block key is made so that two spellings sharing it are known to be variants: equal text, equal text
-but for one letter left out at the same position (a wrong letter), beside it (swapped neighbours) or on one side only (a missing or
-doubled letter), equal letters in any order but one, and so on. So no pair within a block is ever compared or listed: every
+but for one letter left out at the same position (a wrong letter), at the next one (swapped neighbours) or on one side only (a missing
+or doubled letter), equal letters in any order but one, and so on. So no pair within a block is ever compared or listed: every
 block is a star, or a chain of neighbours. Looser keys (``loose_keys``) are made only for the spellings that share a *gate* (the
 same place; the same type and site, or type and thing) with another one.
 
@@ -97,13 +97,14 @@ def _brief(text: str) -> str:
 
 
 def slip_keys(text: str) -> list[str]:
-    """Keys of which two spellings at most one slip apart share one: ``C`` with the text, and ``~``, the letter left out and its
-    position before the text without it. Which rows of such a block are variants, ``_stars`` decides by letter and position."""
-    t = undoubled(text)
-    out = [f"C{_brief(t)}"]
-    if len(t) >= 4:
-        out += [f"~{t[i]}{i:06d}{_brief(t[:i] + t[i + 1 :])}" for i in range(len(t))]
-    return out
+    """Keys of which two spellings at most one slip apart share one: ``C`` with the text, and ``~`` with the position of a letter left out
+    before the text without it; the same without doubled letters. Which rows of a block are variants, ``_stars`` decides by position."""
+    out: list[str] = []
+    for t in dict.fromkeys((text, undoubled(text))):
+        out.append(f"C{_brief(t)}")
+        if len(t) >= 4:
+            out += [f"~{i:06d}{_brief(t[:i] + t[i + 1 :])}" for i in range(len(t))]
+    return list(dict.fromkeys(out))
 
 
 def bag_keys(text: str) -> list[str]:
@@ -153,7 +154,7 @@ def facility_profile(text: str, city: str, _kinds: object = None) -> Profile | N
     if len(core) <= 3:
         ends = ["P", "S"] if link else ["S", "P"]
         return strict, core, [core], [f"A{core}"], [f"?{e}{core}{rank}" for rank, e in enumerate(ends)], []
-    return strict, core, [core], slip_keys(core), [f"!P{core[:3]}", f"!S{core[-3:]}"], []
+    return strict, core, [core], [*slip_keys(core), f"B{_brief(''.join(sorted(core)))}"], [f"!P{core[:3]}", f"!S{core[-3:]}"], []
 
 
 def owner_profile(text: str, _city: str = "", _kinds: object = None) -> Profile | None:
@@ -184,7 +185,7 @@ def owner_profile(text: str, _city: str = "", _kinds: object = None) -> Profile
     named, initials = [core], []
     if not kind and len(parts) == 2:
         a, b = (_squeezed(p) for p in parts)
-        named = [a, b] if len(a) <= len(b) else [b, a]
+        named = [a, b] if (len(a) <= len(b)) != (min(len(a), len(b)) == 1) else [b, a]  # a single letter stands for the given name
         initials = person_initials(*named) if len(a) != len(b) else []
         core = "".join(named)
     return f"|{kind}|", core, named, owner_keys(named, kind), initials, []
@@ -260,7 +261,7 @@ def property_profile(text: str, city: str, kinds: PropertyKinds) -> Profile | No
     kind = kinds.canonical[hit[2]] if hit else ""
     rest = whole[: hit[0]] + whole[hit[1] :] if hit else whole
     rest += _squeezed(inner)
-    keys = bag_keys(rest + kind)
+    keys = sorted({k for t in (rest, undoubled(rest)) for k in bag_keys(t + kind)})
     core = "".join(sorted(rest)) + "|" + kind
     place = re.search(rf"{_HAN}{{2,4}}?(?:{'|'.join(PLACES.split())})", rest)
     if hit and place:
@@ -346,27 +347,23 @@ def profiles(df: DataFrame, field: str, key: str, text: str, code: str | None, k
 
 
 def _blocks(keyed: DataFrame) -> DataFrame:
-    """(node, k, at, letter) of rows (node, field, strict, key); ``at`` is the position of the letter left out, -1 for a whole key."""
+    """(node, k, at) of rows (node, field, strict, key); ``at`` is the position of the letter left out, -1 for a whole key."""
     slip = F.col("key").startswith("~")
-    whole = F.when(slip, F.concat(F.lit("C"), F.substring("key", 9, 1 << 20))).otherwise(F.col("key"))
-    at = F.when(slip, F.substring("key", 3, 6).cast("int")).otherwise(F.lit(-1))
-    return keyed.select("node", F.xxhash64("field", "strict", whole).alias("k"), at.alias("at"), F.when(slip, F.ascii(F.substring("key", 2, 1))).otherwise(F.lit(0)).alias("letter"))
+    whole = F.when(slip, F.concat(F.lit("C"), F.substring("key", 8, 1 << 20))).otherwise(F.col("key"))
+    at = F.when(slip, F.substring("key", 2, 6).cast("int")).otherwise(F.lit(-1))
+    return keyed.select("node", F.xxhash64("field", "strict", whole).alias("k"), at.alias("at"))
 
 
 def _stars(blocks: DataFrame) -> DataFrame:
     """(node, other) of proven variants, linear in the block whatever its size; one shuffle. A whole key links every row of its block to
-    its first holder (a letter left out of the longer text gives the shorter one, whole keys are equal). Rows with a letter left out are
-    linked to the row before them if the position is the same (a wrong letter), or the letter the same and the position the next."""
-    rows = blocks.repartition("k")
-    order, swaps = Window.partitionBy("k").orderBy("at", "node"), Window.partitionBy("k", "letter").orderBy("at", "node")
-    rows = rows.withColumn("first", F.first(F.struct("at", "node")).over(order)).withColumn("last", F.lag(F.struct("at", "node")).over(order))
-    rows = rows.withColumn("near", F.lag(F.struct("at", "node")).over(swaps))
-    ends = F.array(
-        F.when(F.col("first.at") == -1, F.col("first.node")),
-        F.when(F.col("last.at") == F.col("at"), F.col("last.node")),
-        F.when((F.col("at") >= 0) & (F.col("near.at") >= F.greatest(F.lit(0), F.col("at") - 1)), F.col("near.node")),
-    )
-    return rows.select("node", F.explode(ends).alias("other")).filter("other is not null and other <> node").distinct()
+    its first holder (a letter left out of the longer text gives the shorter one, whole keys are equal). A row with a letter left out is
+    linked to the row before it if the position is the same (a wrong letter) or the next one (neighbours swapped, one perhaps wrong)."""
+    order = Window.partitionBy("k").orderBy("at", "node")
+    here = F.struct("at", "node")
+    rows = blocks.repartition("k").withColumn("first", F.first(here).over(order)).withColumn("last", F.lag(here).over(order))
+    held = F.when(F.col("first.at") == -1, F.col("first.node"))
+    near = F.when((F.col("last.at") >= 0) & (F.col("last.at") >= F.col("at") - 1), F.col("last.node"))
+    return rows.select("node", F.explode(F.array(held, near)).alias("other")).filter("other is not null and other <> node").distinct()
 
 
 def _gated(profile: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -421,21 +418,18 @@ def resolve(profile: DataFrame, max_rounds: int | None = None) -> DataFrame:
     profile = cut(profile)
     nodes = cut(profile.groupBy("node").agg(*[F.first(c).alias(c) for c in ("field", "strict", "core", "parts", "initials", "keys")], F.count("*").alias("rows")))
     own = nodes.select("node", "field", "strict", F.explode("keys").alias("key"))
-    blocks = cut(_blocks(own.union(_gated(profile, nodes))))
-    entity, links = None, _stars(blocks)
-    rounds = 0
+    blocks = _blocks(own.union(cut(_gated(profile, nodes))))
+    entity, links, rounds = nodes.select("node", F.col("node").alias("entity")), _stars(blocks), 0
     while True:
         moves = cut(connected_components(links, "node", "other").withColumnRenamed("node", "entity"))
-        if entity is None:
-            entity = nodes.select("node", F.col("node").alias("entity"))
-        elif moves.isEmpty():
-            break
-        elif rounds == max_rounds:
-            raise ValueError(f"names still merge after {max_rounds} rounds")
         entity = cut(entity.join(moves, "entity", "left").select("node", F.coalesce("component", "entity").alias("entity")))
         rounds += 1
         changed = moves.select(F.col("component").alias("entity")).distinct()
         fresh = _blocks(_consensus(nodes, entity, changed))
-        met = blocks.join(fresh.select("k").distinct(), "k", "left_semi").join(entity, "node").select(F.col("entity").alias("node"), "k", "at", "letter")
-        links = _stars(fresh.union(met).distinct()).union(_called(entity, nodes).select(F.col("entity").alias("node"), F.col("target").alias("other")))
+        met = blocks.join(fresh.select("k").distinct(), "k", "left_semi").join(entity, "node").select(F.col("entity").alias("node"), "k", "at")
+        links = cut(_stars(fresh.union(met).distinct()).union(_called(entity, nodes).select(F.col("entity").alias("node"), F.col("target").alias("other"))))
+        if links.isEmpty():
+            break
+        if rounds == max_rounds:
+            raise ValueError(f"names still merge after {max_rounds} rounds")
     return profile.select("field", "key", "node").distinct().join(entity, "node").select("field", "key", F.hex("entity").alias("entity")).distinct()

@@ -72,6 +72,53 @@ def test_owners(spark):
     assert sorted(["雪杉幸霞鶴の保存会", "雪杉幸霞鶴 保存會"]) in got
 
 
+def test_pieces_with_counters_stay_apart(spark):
+    kinds = [("sword", "刀剣甲冑")]
+    rows = [(f"{p}{i}", f"瀬葛弓講中鶴岡銅刀剣甲冑其{p}{c}", "13901") for p in "一二" for i, c in enumerate(("一棟", "二点", ""))]
+    assert entities(spark, "name", rows, kinds) == [["一0", "一1", "一2"], ["二0", "二1", "二2"]]
+
+
+def test_one_slip_is_proven_by_position(spark):
+    # both lose two letters to 福鹿蔦鹿, at places far apart: no slip of one another, though they share a text with a letter left out
+    got = entities(spark, "owner", [(t, t, None) for t in ("福鹿茅 蔦鹿", "福鹿 蔦鹿瀬", "福鹿矛 蔦鹿", "福福鹿 蔦鹿瀬")])
+    assert got == sorted([sorted(["福鹿茅 蔦鹿", "福鹿矛 蔦鹿"]), sorted(["福鹿 蔦鹿瀬", "福福鹿 蔦鹿瀬"])])
+
+
+def rounds_of(spark, field, rows, kinds=()):
+    """(entities, entities after the keys alone): the second stops before any merged profile enters blocking again."""
+    df = spark.createDataFrame(rows, "id string, t string, code string")
+    profile = names.profiles(df, field, "id", "t", "code", list(kinds))
+    with pytest.raises(ValueError):
+        names.resolve(profile, max_rounds=1)
+    return entities(spark, field, rows, kinds)
+
+
+def test_merged_facilities_answer_to_their_short_forms(spark):
+    rows = [("a", "糸光福坂蔦美術館", "13901"), ("b", "糸光福坂鬱美術館", "13901"), ("c", "坂鬱美館", "13901"), ("d", "福坂鬱美館", "13901")]
+    assert rounds_of(spark, "facility_name", rows)[0][:2] == ["a", "b"]
+
+
+def test_merged_owners_rematch_by_consensus_and_initials(spark):
+    # the consensus 羊昼 兎葛霞 stands in no row; it is one slip from c, which is two from either of the others
+    rows = [("a", "羊昼 兎葛鬱", None), ("a2", "羊昼 兎葛霊", None), ("b", "羊星 兎葛霞", None), ("b2", "羊山 兎葛霞", None), ("k", "羊昼 兎葛霊霞", None), ("s", "羊昼 兎", None)]
+    got = rounds_of(spark, "owner", rows)
+    assert any({"a", "a2", "s"} <= set(g) for g in got)
+
+
+def test_merged_properties_rematch_by_consensus(spark):
+    kinds = [("temple", "仏堂建築")]
+    site, thing = "幸糸滝寺", "鹿虎嶺"
+    rows = [("a", "幸糸滝寺鹿虎鬱仏堂建築", "13901"), ("b", "幸糸滝寺鹿虎鷺仏堂建築", "13901"), ("c", "幸糸桂寺鹿虎嶺仏堂建築", "13901"), ("d", "幸糸梅寺鹿虎嶺仏堂建築", "13901"), ("e", "星月滝寺鹿虎嶺仏堂建築", "13901")]
+    assert site + thing not in "".join(t for _, t, _ in rows)
+    assert rounds_of(spark, "name", rows, kinds) == [["a", "b", "c", "d", "e"]]
+
+
+def test_long_and_repeated_names(spark):
+    rows = [("a", "甲" * 3000 + "乙" * 3000 + "美術館", "13901"), ("a", "甲" * 3000 + "乙" * 3000 + "美術館", "13901"), ("b", "丙丁" * 2000, "13901"), ("c", "丙丁" * 2000, "13901")]
+    assert entities(spark, "facility_name", rows) == [["a"], ["b", "c"]]
+    assert entities(spark, "name", rows) == [["a"], ["b", "c"]]
+
+
 def test_unsettled_merging_raises(spark):
     rows = [("facility_name", "a", 1, "s", "x", ["Cx"], ["!ab0"]), ("facility_name", "b", 2, "s", "y", ["Cy"], ["?ab0"])]
     profile = spark.createDataFrame(rows, "field string, key string, node long, strict string, core string, keys array<string>, initials array<string>")
