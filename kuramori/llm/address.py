@@ -1,13 +1,15 @@
 """Postal addresses that denote the same place, however they are written.
 
-1. Every address is split into components: municipality, town as written, house numbers, postal code; building and floor are
-   left out. Gazetteer knowledge (the fixed list of towns, its size checked) settles a town the text omits but its postal code names.
+1. Every address is split into components: municipality, town as written, house numbers (two to four), postal code; building and floor
+   are left out. Gazetteer knowledge (the fixed list of towns, its size checked) settles a misspelt town, or one that the text omits
+   but its postal code names.
 2. Equal component tuples are one *form*; copies never enter the comparison.
-3. Multi-pass sorted neighbourhoods over the forms: each pass sorts by another order of the components. As unequal house numbers
-   can never be the same place, they lead every sort key and a neighbourhood never crosses them. A window of ``WINDOW`` forms is
-   compared by edit distance and a transposition-tolerant score; numbers and municipality must agree strictly, and two different
-   towns that both exist are never the same, however alike. Forms with an equal settled town are chained exactly, so that
-   a crowded neighbourhood loses nothing to the window.
+3. Multi-pass sorted neighbourhoods over all forms: town - numbers - municipality, numbers - municipality - town from its end, postal
+   code - numbers - town, and municipality - numbers - letters of the town in any order. Each pass sorts by range over the cluster and
+   slides a window of ``WINDOW`` forms over it, also over the borders of partitions. A window is compared by edit distance and a
+   transposition-tolerant score; numbers and municipality must agree strictly, and two different towns that both exist are never the
+   same, however alike. Forms of one settled town are neighbours in the first pass, however many there are. A form of an unsettled
+   town meets all others of its numbers also by an exact join, so that a crowded neighbourhood loses nothing.
 4. Matching forms are joined to places by connected components; rows follow their form.
 
 Defined results: rows without text, without readable house numbers, or without any town are no address; ties and repeated rows
@@ -16,12 +18,14 @@ share a form; extra columns are never read."""
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kuramori.llm.uniform import consistent_text
@@ -34,9 +38,10 @@ LIKENESS = 0.6
 DIGITS = {c: i for i, c in enumerate("〇一二三四五六七八九")}
 _KANJI_NUMBER = re.compile(r"[〇一二三四五六七八九十百]+(?=\s*(?:丁目|番地|番|号))|(?<=番地の)[〇一二三四五六七八九十百]+")
 _DASH = re.compile(r"(?<=[\d目番地])\s*[-‐‑‒–—―−ーｰ－~〜]\s*(?=\d)")
-_NUMBERS = re.compile(r"(\d+)\s*(?:丁目|-)\s*(\d+)\s*(?:番地?\s*の?|-)\s*(\d+)\s*号?")
+_NUMBERS = re.compile(r"(\d+)\s*(?:丁目|-)\s*(\d+)\s*(?:番地?\s*の?|-)\s*(\d+)(?:\s*(?:号\s*の|-)\s*(\d+)(?![\d階F]))?\s*号?")
+_TWO_NUMBERS = re.compile(r"(\d+)\s*(?:丁目|番地?\s*の?|-)\s*(\d+)\s*(?:番地?|号)?(?![\d階F])")
 _POSTAL = re.compile(r"(?:^|〒)\s*(\d{3})-?(\d{4})(?![\d-])")
-_ENGLISH = re.compile(r"^\s*(\d+)-(\d+)-(\d+)\s+([A-Za-z' -]+?),\s*([A-Za-z' ]+?)-(?:ku|shi|machi|cho|mura|son)\b", re.I)
+_ENGLISH = re.compile(r"^\s*(\d+(?:-\d+){1,3})\s+([A-Za-z' -]+?),\s*([A-Za-z' ]+?)-(?:ku|shi|machi|cho|mura|son)\b", re.I)
 
 
 def kanji_number(text: str) -> int:
@@ -132,12 +137,12 @@ def _strip_like(text: str, names: list[str]) -> tuple[str, str]:
 
 
 def parse(text: str | None, detail: str | None, code: str, postal: str | None, g: Gazetteer, prefecture: str = "東瀬都") -> tuple[str, str, str, str] | None:
-    """(municipality, town as written, numbers "a-b-c", settled town), or None where the text gives no address."""
+    """(municipality, town as written, numbers "a-b", "a-b-c" or "a-b-c-d", settled town), or None where the text gives no address."""
     s = consistent_text(text).strip()
     if not s:
         return None
     if m := _ENGLISH.match(s):
-        numbers, town_en, city_en = "-".join(str(int(x)) for x in m.groups()[:3]), m.group(4).lower(), m.group(5).lower()
+        numbers, town_en, city_en = "-".join(str(int(x)) for x in m.group(1).split("-")), m.group(2).lower(), m.group(3).lower()
         found = g.by_english.get((city_en, town_en))
         if not found:
             options = {v for (c, t), v in g.by_english.items() if damerau(t, town_en, 1) <= 1 and (damerau(c, city_en, 1) <= 1 or v[0] == code)}
@@ -151,9 +156,14 @@ def parse(text: str | None, detail: str | None, code: str, postal: str | None, g
     s = number_text(s)
     m = _NUMBERS.search(s)
     before, after = (s[: m.start()], s[m.end() :]) if m else (s, "")
-    if not m and not (m := _NUMBERS.search(number_text(consistent_text(detail)))):
-        return None
-    numbers = "-".join(str(int(x)) for x in m.groups())
+    if not m:
+        apart = number_text(consistent_text(detail))
+        if not (m := _NUMBERS.search(apart)):
+            if m := _TWO_NUMBERS.search(s):
+                before, after = s[: m.start()], s[m.end() :]
+            elif not (m := _TWO_NUMBERS.search(apart)):
+                return None
+    numbers = "-".join(str(int(x)) for x in m.groups() if x)
     place = re.sub(r"\s+", "", before)
     if not place:  # numbers first: town and municipality follow, or nothing but a building
         rest = after.strip()
@@ -188,6 +198,12 @@ def parse(text: str | None, detail: str | None, code: str, postal: str | None, g
     return (city, town, numbers, settled) if town or settled else None
 
 
+def postal_code(text: str | None, column: str | None) -> str:
+    """Postal code written in an address, else the one of its own column; '' without."""
+    m = _POSTAL.search(consistent_text(text).strip())
+    return m.group(1) + m.group(2) if m else re.sub(r"\D", "", column or "")
+
+
 def gazetteer_rows(towns: DataFrame) -> list[tuple]:
     """The fixed town list; refuses more than MAX_TOWNS rows."""
     cols = ["municipality_code", "municipality_name", "municipality_en", "town_name", "town_en", "postal_code"]
@@ -198,7 +214,7 @@ def gazetteer_rows(towns: DataFrame) -> list[tuple]:
 
 
 def parsed(df: DataFrame, key: str, texts: list[str], detail: str | None, code: str, postal: str | None, rows: list[tuple]) -> DataFrame:
-    """(key, city, town, numbers, settled): one row per readable address text of a row; no shuffle."""
+    """(key, city, town, numbers, settled, postal): one row per readable address text of a row; no shuffle."""
     cols = [F.col(key).cast("string").alias("key"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(texts)]]
     cols += [(F.col(c) if c else F.lit(None).cast("string")).alias(a) for c, a in ((detail, "detail"), (code, "code"), (postal, "postal"))]
 
@@ -209,18 +225,66 @@ def parsed(df: DataFrame, key: str, texts: list[str], detail: str | None, code:
             for r in pdf.itertuples(index=False):
                 for i in range(len(texts)):
                     if p := parse(getattr(r, f"t{i}"), r.detail, municipality_code(r.code), r.postal, g):
-                        out.append((r.key, *p))
-            yield pd.DataFrame(out, columns=["key", "city", "town", "numbers", "settled"])
+                        out.append((r.key, *p, postal_code(getattr(r, f"t{i}"), r.postal)))
+            yield pd.DataFrame(out, columns=["key", "city", "town", "numbers", "settled", "postal"])
+
+    return df.select(*cols).mapInPandas(run, "key string, city string, town string, numbers string, settled string, postal string")
+
+
+Form = tuple[str, str, str, str, str]  # form, city, numbers, town, settled
+
 
-    return df.select(*cols).mapInPandas(run, "key string, city string, town string, numbers string, settled string")
+def same_place(a: Form, b: Form, likeness: float) -> bool:
+    """Strict municipality and numbers; equal settled towns, or, where one isn't settled, towns that are written alike."""
+    if a[1] != b[1] or a[2] != b[2]:
+        return False
+    return a[4] == b[4] if a[4] and b[4] else town_likeness(a[3], b[3]) >= likeness
 
 
-def _neighbours(forms: DataFrame, order: list[Column], window: int) -> DataFrame:
-    """Pairs of forms at most ``window`` places apart in one sort order of the same house numbers and municipality."""
-    w = Window.partitionBy("numbers", "city").orderBy(*order).rowsBetween(1, window)
-    other = F.collect_list(F.struct("form", "town", "settled")).over(w)
-    windows = forms.select("form", "town", "settled", other.alias("others"))
-    return windows.select("form", "town", "settled", F.explode("others").alias("o")).select("form", "town", "settled", F.col("o.form").alias("form_b"), F.col("o.town").alias("town_b"), F.col("o.settled").alias("settled_b"))
+def _neighbourhoods(forms: DataFrame, orders: list[list[Column]], window: int, likeness: float) -> DataFrame:
+    """(form, form_b) of the pairs that match within ``window`` places of any of the sort orders. Every order is one range shuffle; a
+    partition slides its window by itself, and the ends of the partitions (twice the window of each) are compared in one small task."""
+    n = max(1, int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ends = "form string, city string, numbers string, town string, settled string, form_b string, part int, at int, pass int"
+    names = ["form", "city", "numbers", "town", "settled"]
+
+    def slide(number: int):
+        def table(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=[c.split()[0] for c in ends.split(", ")])
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            part, at = TaskContext.get().partitionId(), 0
+            before: deque[Form] = deque(maxlen=window)
+            for pdf in batches:
+                out: list[tuple] = []
+                for row in pdf[names].itertuples(index=False, name=None):
+                    out += [(row[0], None, None, None, None, o[0], part, at, number) for o in before if same_place(row, o, likeness)]
+                    if at < window:
+                        out.append((*row, None, part, at, number))
+                    before.append(row)
+                    at += 1
+                yield table(out)
+            last = list(before)[max(0, 2 * window - at) :] if at > window else []  # without those that were among the first
+            yield table([(*row, None, part, at + k, number) for k, row in enumerate(last)])
+
+        return run
+
+    found = None
+    for number, order in enumerate(orders):
+        keyed = forms.select(*names, F.concat_ws("\u0001", *order).alias("sort_key"))
+        one = keyed.repartitionByRange(n, "sort_key", "form").sortWithinPartitions("sort_key", "form").mapInPandas(slide(number), ends)
+        found = one if found is None else found.union(one)
+    found = cut(found)
+
+    def over_borders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted((r for pdf in batches for r in pdf[["pass", "part", "at", *names]].itertuples(index=False, name=None)), key=lambda r: (r[0], r[1], r[2]))
+        out = []
+        for k, r in enumerate(rows):
+            out += [(r[3], o[3]) for o in rows[max(0, k - window) : k] if o[0] == r[0] and o[1] != r[1] and same_place(r[3:], o[3:], likeness)]
+        yield pd.DataFrame(out, columns=["form", "form_b"])
+
+    border = found.filter("form_b is null").repartition(1).mapInPandas(over_borders, "form string, form_b string")
+    return found.filter("form_b is not null").select("form", "form_b").union(border)
 
 
 def left_out(town: str) -> list[str]:
@@ -242,32 +306,27 @@ def _unsettled_pairs(forms: DataFrame) -> DataFrame:
 
 
 def matching_forms(forms: DataFrame, window: int = WINDOW, likeness: float = LIKENESS) -> DataFrame:
-    """(form, form_b) of the pairs that the passes judge to be one place."""
-    passes = [[F.col("town"), F.col("form")], [F.reverse("town"), F.col("form")], [F.array_join(F.array_sort(F.split("town", "")), ""), F.col("form")]]
-    pairs = None
-    for order in passes:
-        found = _neighbours(forms, order, window)
-        pairs = found if pairs is None else pairs.union(found)
-
-    pairs = pairs.union(_unsettled_pairs(forms))
+    """(form, form_b) of the pairs that are one place."""
+    forms = forms if "postal" in forms.columns else forms.withColumn("postal", F.lit(""))
+    town = F.when(F.col("settled") != "", F.col("settled")).otherwise(F.col("town"))
+    letters = F.array_join(F.array_sort(F.split("town", "")), "")
+    post = F.when(F.col("postal") != "", F.col("postal")).otherwise(F.col("city"))
+    orders = [[town, F.col("numbers"), F.col("city"), F.col("town")], [F.col("numbers"), F.col("city"), F.reverse("town")], [post, F.col("numbers"), F.col("town")], [F.col("city"), F.col("numbers"), letters]]
+    near = _neighbourhoods(forms, orders, window, likeness)
 
     @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([town_likeness(x, y) for x, y in zip(a, b)], dtype="float64")
 
-    both = (F.col("settled") != "") & (F.col("settled_b") != "")
-    sure = pairs.filter(both & (F.col("settled") == F.col("settled_b"))).select("form", "form_b")
-    alike = pairs.filter(~both).distinct().filter(score("town", "town_b") >= likeness).select("form", "form_b")
-    chain = Window.partitionBy("numbers", "city", "settled").orderBy("town", "form")
-    chained = forms.filter("settled <> ''").select("form", F.lead("form").over(chain).alias("form_b")).filter("form_b is not null")
-    return sure.union(alike).union(chained).distinct()
+    far = _unsettled_pairs(forms).filter((F.col("settled") == "") | (F.col("settled_b") == "")).filter(score("town", "town_b") >= likeness)
+    return near.union(far.select("form", "form_b")).distinct()
 
 
 def places(addresses: DataFrame) -> DataFrame:
     """(key, place) of parsed addresses; equal place means the same postal address."""
     form = F.concat_ws("|", "city", "numbers", "town", "settled")
     rows = cut(addresses.withColumn("form", form))
-    forms = rows.select("form", "city", "numbers", "town", "settled").distinct()
+    forms = cut(rows.groupBy("form", "city", "numbers", "town", "settled").agg(F.max("postal").alias("postal")))
     joined = connected_components(matching_forms(forms), "form", "form_b")
     return rows.join(joined, rows["form"] == joined["node"], "left").select("key", F.coalesce("component", "form").alias("place")).distinct()
 

@@ -18,6 +18,22 @@ def test_address_forms():
     assert address.kanji_number("百六十四") == 164 and address.damerau("ab", "ba") == 1
 
 
+def test_two_and_four_numbers():
+    g = address.Gazetteer(TOWNS)
+    for text, numbers in (("霞浜区桐磯3丁目5番", "3-5"), ("霞浜区桐磯12番地の7", "12-7"), ("霞浜区桐磯3-5", "3-5"), ("霞浜区桐磯1-2-3-405 ビル", "1-2-3-405"), ("霞浜区桐磯1-2-3 4階", "1-2-3"), ("1-2-3-4 Kiriiso, Kasumihama-ku", "1-2-3-4")):
+        p = address.parse(text, None, "13901", None, g)
+        assert p and (p[1], p[2]) == ("桐磯", numbers), text
+
+
+def test_windows_reach_over_partitions(spark):
+    towns = [f"桐{chr(0x4E00 + i)}{chr(0x6000 + i)}{chr(0x7000 + i)}" for i in range(150)]
+    forms = spark.createDataFrame([(f"f{i}", "13901", "1-2-3", t[: 4 - j], t) for i, t in enumerate(towns) for j in range(2)], "form string, city string, numbers string, town string, settled string")
+    forms = forms.selectExpr("concat(form, '_', length(town)) form", "city", "numbers", "town", "settled")
+    for window in (1, 3, 8):
+        got = {frozenset((r.form, r.form_b)) for r in address.matching_forms(forms, window=window).collect()}
+        assert {frozenset((f"f{i}_3", f"f{i}_4")) for i in range(150)} == got
+
+
 def test_places(spark):
     rows = [("m1", "霞浜区桐磯1-2-3"), ("m2", "霞浜区桐彙一丁目二番三号"), ("m3", "霞浜区磯桐1-2-3"), ("m4", "霞浜区桐磯1-2-4"), ("m1", "霞浜区桐磯1-2-3"), ("m5", None), ("m6", "")]
     df = spark.createDataFrame([(k, t, "13901.0", "x") for k, t in rows], "id string, a string, code string, place string")
