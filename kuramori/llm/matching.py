@@ -1,16 +1,18 @@
 """Matching the entities of two tables that share no key, each match with a confidence.
 
 1. Every row becomes tokens of its attributes: letters and letter pairs of the name, kind, municipality, town and house numbers, grid
-   cells of the position. Tokens are hashed into ``BUCKETS`` numbers, so the graph record - attribute - token has a bounded token side.
-2. Random walks record -> token -> record -> token ... start at every record. A walk needs, per token, only a few records
-   (``RESERVOIR``, the first by hash), so its table is bounded and each record walks in one pass. Skip-gram vectors of the tokens are
-   trained on the walks of all records.
-3. A row's vector is the weighted mean of its tokens' vectors, in three views: name, place, and the letters of
-   the name in any order (the score is the cosine of name and place together). Rows are blocked by
-   hyperplane hashing with several tables per view; the smaller table also probes the buckets behind its least certain bits.
+   cells of the position. Rows equal in all of them are one node. Tokens are hashed into a number of buckets derived from how many there are.
+2. Random walks record -> token -> record -> token ... start at every record. Each step draws anew among all records of the token and all
+   tokens of the record: the records of a token lie in slots of about ``SLOT``, a step is an equi-join on (token, drawn slot), which
+   also spreads hot tokens. Skip-gram vectors of the tokens are trained on the walks of all records.
+3. A row's vector is the weighted mean of its tokens' vectors, in three views: name, place, and the letters of the name in any order.
+   Rows are blocked by hyperplane hashing with several tables per view, of as many bits as keep a bucket's size the same at any number of
+   rows; municipality, kind and branch are part of the block key; the smaller table also probes the buckets behind its least certain bits.
    An equi-join on strict keys adds every pair the exact comparison can accept, so that no match depends on the tables' sizes.
 4. Candidates are reranked exactly: strict kind and branch, edit-tolerant name, distance, address, municipality.
-5. Cosine scores of the reranked pairs are calibrated on a bounded sample of candidates into the confidence.
+5. The cosines are calibrated on a bounded sample of candidates, each against evidence it does not use: the cosine of the names against
+   agreeing or contradicting places, that of the places against equal or unlike names. A pair whose exact score isn't 0 is a match
+   if the confidence, from exact score and calibrated cosines together, is at least ``ACCEPT``.
 
 Defined results: rows without name and place match nothing; things that only serve a facility never match; equal rows match equally."""
 
@@ -24,7 +26,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.ml.feature import Word2Vec
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kuramori.llm.address import Gazetteer, municipality_code, parse, written_town
@@ -32,11 +34,11 @@ from kuramori.llm.names import facility_profile, leave_one_out, leave_out
 from kuramori.llm.uniform import consistent_text
 from kuramori.session import cut, spread
 
-BUCKETS = 1 << 16
-RESERVOIR, NEIGHBOUR_TOKENS = 8, 8
-WALKS, STEPS, DIMENSIONS = 4, 6, 32
-TABLES, BITS, PROBES = (8, 6, 8), 13, 6  # tables per view: name, place, letters of the name in any order
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 12, 1 << 18  # of tokens: four times as many as tokens, within these; bounds the vectors' table
+WALKS, STEPS, SLOT, DIMENSIONS = 4, 4, 4, 32
+TABLES, PROBES, PER_BUCKET = (6, 4, 6), 4, 8  # tables per view (name, place, letters of the name in any order); rows per bucket aimed at
 CALIBRATION_PAIRS = 20_000
+ACCEPT = 0.5
 NEAR_M, FAR_M = 250.0, 700.0
 AT_M, BESIDE_M = 45.0, 150.0  # an unnamed element at a listing, or beside it
 # Words of things that serve or surround a facility, and uses of an element that isn't a facility itself.
@@ -46,8 +48,8 @@ FIELDS = "side string, id string, city string, strict string, core string, short
 
 
 def bucket(token: str) -> int:
-    """Number of a token; stable over processes."""
-    return xxhash.xxh32_intdigest(token) % BUCKETS
+    """Number of a token; stable over processes. ``match`` reduces it to the number of buckets."""
+    return xxhash.xxh32_intdigest(token) & 0x7FFFFFFF
 
 
 def place_tokens(city: str, town: str, numbers: str, lon: float | None, lat: float | None) -> list[str]:
@@ -109,58 +111,39 @@ def _row(side: str, r: object, g: Gazetteer, everywhere: set[str]) -> tuple:
 
 
 def walks(nodes: DataFrame, seed: int = 11) -> DataFrame:
-    """Sentences of token numbers from WALKS random walks of each record."""
-    edges = nodes.select(F.xxhash64("side", "id").alias("h"), F.array_distinct(F.concat("name_tokens", "place_tokens")).alias("t"))
-    lists = edges.select("h", F.slice(F.shuffle("t", F.lit(seed)), 1, NEIGHBOUR_TOKENS).alias("some"), F.explode("t").alias("token"))
-    w = Window.partitionBy("token").orderBy("h")
-    few = lists.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= RESERVOIR)  # the rank limit is applied before the shuffle too
-    near = np.full((BUCKETS, RESERVOIR, NEIGHBOUR_TOKENS), -1, dtype=np.int32)  # the whole table: its size is fixed by the parameters
-    for r in few.select("token", "n", "some").toLocalIterator():
-        near[r["token"], r["n"] - 1, : len(r["some"])] = r["some"]
-    shipped = nodes.sparkSession.sparkContext.broadcast(near)
-    del near
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shipped.value
-        rows, tokens = (table[:, :, 0] >= 0).sum(axis=1), (table >= 0).sum(axis=2)
-        for pdf in batches:
-            out = []
-            for h, own in zip(pdf["h"], pdf["t"]):
-                if not len(own):
-                    continue
-                rng = np.random.default_rng([seed, int(h) & 0xFFFFFFFF])
-                draws = rng.random((WALKS, 2 * STEPS))
-                for k in range(WALKS):
-                    path = [int(t) for t in rng.choice(own, size=min(3, len(own)), replace=False)]
-                    at = path[-1]
-                    for u, v in zip(draws[k, ::2], draws[k, 1::2]):
-                        if not rows[at]:
-                            break
-                        other = int(u * rows[at])
-                        at = int(table[at, other, int(v * tokens[at, other])])
-                        path.append(at)
-                    out.append([str(t) for t in path])
-            yield pd.DataFrame({"walk": out})
-
-    return edges.mapInPandas(run, "walk array<string>")
-
-
-def token_vectors(nodes: DataFrame, seed: int = 11) -> np.ndarray:
-    """(BUCKETS, DIMENSIONS) skip-gram vectors; zero rows for unused buckets."""
+    """Sentences of token numbers from WALKS random walks of each record. Draws are hashes, so that a lost task repeats them."""
+    own = nodes.select(F.xxhash64("side", "id").alias("h"), F.explode(F.array_distinct(F.concat("name_tokens", "place_tokens"))).alias("token"))
+    slots = own.groupBy("token").agg(F.ceil(F.count("*") / SLOT).cast("int").alias("slots"))
+    edges = own.join(slots, "token")
+    holders = cut(edges.groupBy("token", F.pmod(F.xxhash64("h", "token"), F.col("slots")).alias("slot")).agg(F.collect_list("h").alias("hs")))
+    records = cut(edges.groupBy("h").agg(F.collect_list(F.struct("token", "slots")).alias("ts")))
+    drawn = lambda items, *by: F.get(items, F.pmod(F.xxhash64(*by, F.lit(seed)), F.size(items)).cast("int"))
+    own_first = F.slice(F.array_sort(F.transform("ts", lambda t: F.struct(F.xxhash64("h", "w", t["token"], F.lit(seed)).alias("r"), t.alias("t")))), 1, 3)
+    at = records.withColumn("w", F.explode(F.sequence(F.lit(1), F.lit(WALKS)))).withColumn("s", F.transform(own_first, lambda x: x["t"]))
+    at = at.select("h", "w", F.transform("s", lambda t: t["token"]).alias("path"), F.element_at("s", -1).alias("at"))
+    for step in range(STEPS):
+        here = at.select("h", "w", "path", F.col("at.token").alias("token"), F.pmod(F.xxhash64("h", "w", F.lit(step), F.lit(seed)), F.col("at.slots")).alias("slot"))
+        met = here.join(holders, ["token", "slot"]).select("h", "w", "path", drawn(F.col("hs"), "h", "w", "token").alias("other"))
+        at = met.join(records.select(F.col("h").alias("other"), "ts"), "other").withColumn("at", drawn(F.col("ts"), "h", "w", "other", F.lit(step)))
+        at = at.select("h", "w", F.concat("path", F.array("at.token")).alias("path"), "at")
+    return at.select(F.transform("path", lambda t: t.cast("string")).alias("walk"))
+
+
+def token_vectors(nodes: DataFrame, buckets: int, seed: int = 11) -> np.ndarray:
+    """(buckets, DIMENSIONS) skip-gram vectors; zero rows for unused buckets."""
     sentences = cut(walks(nodes, seed))
-    parts = max(1, min(8, sentences.rdd.getNumPartitions()))
+    parts = max(1, min(nodes.sparkSession.sparkContext.defaultParallelism, sentences.rdd.getNumPartitions()))
     model = Word2Vec(vectorSize=DIMENSIONS, windowSize=3, minCount=1, maxIter=1, numPartitions=parts, seed=seed, inputCol="walk", outputCol="v").fit(sentences)
-    out = np.zeros((BUCKETS, DIMENSIONS), dtype=np.float32)
+    out = np.zeros((buckets, DIMENSIONS), dtype=np.float32)
     for r in model.getVectors().toLocalIterator():
         out[int(r["word"])] = r["vector"].toArray()
     return out
 
 
-def token_weights(nodes: DataFrame) -> np.ndarray:
+def token_weights(nodes: DataFrame, buckets: int, total: int) -> np.ndarray:
     """Inverse document frequency of every bucket over all rows."""
     tokens = nodes.select(F.explode(F.array_distinct(F.concat("name_tokens", "place_tokens"))).alias("t"))
-    total = nodes.count()
-    out = np.zeros(BUCKETS, dtype=np.float32)
+    out = np.zeros(buckets, dtype=np.float32)
     for r in tokens.groupBy("t").count().toLocalIterator():
         out[r["t"]] = math.log((1 + total) / r["count"])
     return out
@@ -173,39 +156,38 @@ def _mean(tokens: list[int], vectors: np.ndarray, weights: np.ndarray) -> np.nda
     return v / n if n else v
 
 
-def embed(nodes: DataFrame, vectors: np.ndarray, weights: np.ndarray, probing: str, seed: int = 5) -> DataFrame:
-    """Every row with its vector and its bucket keys; rows of side ``probing`` also get the keys of their nearest other buckets."""
+def embed(nodes: DataFrame, vectors: np.ndarray, weights: np.ndarray, probing: str, bits: int, seed: int = 5) -> DataFrame:
+    """Every row with its vectors of name and place and its bucket keys; rows of side ``probing`` also get the keys of their nearest
+    other buckets."""
     unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     sc = nodes.sparkSession.sparkContext
     unit -= unit[weights > 0].mean(axis=0)
     shipped = sc.broadcast((unit, weights))
     del unit
-    planes = np.random.default_rng(seed).normal(size=(3, max(TABLES), BITS, DIMENSIONS)).astype(np.float32)
+    planes = np.random.default_rng(seed).normal(size=(3, max(TABLES), bits, DIMENSIONS)).astype(np.float32)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vec, wts = shipped.value
-        powers = 1 << np.arange(BITS)
+        powers = 1 << np.arange(bits, dtype=np.int64)
         for pdf in batches:
-            vs, ks = [], []
+            names, places, ks = [], [], []
             for side, a, b in zip(pdf["side"], pdf["name_tokens"], pdf["place_tokens"]):
                 na, nb = _mean(a, vec, wts), _mean(b, vec, wts)
-                both, letters = na + nb, _mean(a[len(a) // 2 + 1 :], vec, wts)
                 keys = []
-                for view, v in enumerate((na, nb, letters)):
+                for view, v in enumerate((na, nb, _mean(a[len(a) // 2 + 1 :], vec, wts))):
                     if not v.any():
                         continue
                     margin = planes[view] @ v
                     code = (margin > 0) @ powers
                     for t in range(TABLES[view]):
-                        keys.append(f"{view}:{t}:{code[t]}")
-                        if side == probing:
-                            keys += [f"{view}:{t}:{code[t] ^ (1 << int(k))}" for k in np.argsort(np.abs(margin[t]))[:PROBES]]
-                n = np.linalg.norm(both)
-                vs.append((both / n if n else both).astype(np.float32).tolist())
+                        flips = np.argsort(np.abs(margin[t]))[:PROBES] if side == probing else ()
+                        keys += [(view << 58) | (t << 50) | int(code[t] ^ x) for x in (0, *(1 << int(k) for k in flips))]
+                names.append(na.tolist())
+                places.append(nb.tolist())
                 ks.append(keys)
-            yield pdf.assign(vector=vs, buckets=ks)
+            yield pdf.assign(name_vector=names, place_vector=places, buckets=ks)
 
-    return nodes.mapInPandas(run, FIELDS + ", vector array<float>, buckets array<string>")
+    return nodes.mapInPandas(run, FIELDS + ", name_vector array<float>, place_vector array<float>, buckets array<long>")
 
 
 def same_name(a: str, b: str, a_short: bool, b_short: bool, supported: bool) -> float:
@@ -254,16 +236,39 @@ def pair_score(p: dict) -> float:
 
 
 def candidates(embedded: DataFrame, left: str, right: str) -> DataFrame:
-    """Distinct (m_h, o_h) of the rows that share a bucket and could pass the strict tests: kind and branch are part of the block key
-    (an unnamed element meets everything in its place bucket), municipalities must not contradict."""
+    """Distinct (m_h, o_h) of the rows that share a bucket and could pass the strict tests: municipality, kind and branch are part of the
+    block key. A row without municipality meets those of all; an unnamed element meets everything in its place bucket."""
     keyed = embedded.select("side", "h", "city", "strict", F.explode("buckets").alias("b"))
-    placed = F.col("b").startswith("1:")
-    own = keyed.select("side", "h", "city", F.xxhash64("b", "strict").alias("k"))
-    open_ = keyed.filter(placed & (F.col("side") == left) & (F.col("strict") != "")).select("side", "h", "city", F.xxhash64("b", F.lit("")).alias("k"))
-    every = own.union(open_)
-    a = every.filter(F.col("side") == left).select("k", F.col("h").alias("m_h"), F.col("city").alias("m_c"))
-    b = every.filter(F.col("side") == right).select("k", F.col("h").alias("o_h"), F.col("city").alias("o_c"))
-    return a.join(b, "k").filter("m_c = o_c or m_c = '' or o_c = ''").select("m_h", "o_h").distinct()
+    placed = F.shiftright("b", 58) == 1
+    kinds = lambda s: F.when(placed & (F.lit(s) == left) & (F.col("strict") != ""), F.array("strict", F.lit(""))).otherwise(F.array("strict"))
+    # "own" meets equal municipalities; an open row asks under "any", where those with a municipality stand, and under "" other open ones
+    cities = lambda s: F.when(F.col("city") != "", F.array("city", F.lit(f"any-{s}"))).otherwise(F.array(F.lit(""), F.lit(f"any-{right if s == left else left}")))
+
+    def rows(s: str, name: str) -> DataFrame:
+        own = keyed.filter(F.col("side") == s).select("h", "b", F.explode(cities(s)).alias("c"), "strict").select("h", "b", "c", F.explode(kinds(s)).alias("kind"))
+        return own.select(F.xxhash64("b", "c", "kind").alias("k"), F.col("h").alias(name))
+
+    return rows(left, "m_h").join(rows(right, "o_h"), "k").select("m_h", "o_h").distinct()
+
+
+def distance_m() -> Column:
+    """Metres between the places of a pair; null where one is missing."""
+    dy, dx = (F.col("m_lat") - F.col("o_lat")) * 111_195, (F.col("m_lon") - F.col("o_lon")) * 111_195 * F.cos(F.radians("m_lat"))
+    return F.hypot(dy, dx)
+
+
+def same_address() -> Column:
+    """Whether the addresses of a pair agree; null where one has no numbers."""
+    towns = (F.col("m_town") == F.col("o_town")) | (F.col("m_town") == "") | (F.col("o_town") == "")
+    return F.when((F.col("m_numbers") != "") & (F.col("o_numbers") != ""), (F.col("m_numbers") == F.col("o_numbers")) & towns)
+
+
+def possible() -> Column:
+    """The strict tests of ``pair_score`` as columns: false only where the score is 0. Only what passes goes to Python."""
+    far = F.coalesce(distance_m() > FAR_M + 1, F.lit(False))
+    city = (F.col("m_city") == F.col("o_city")) | (F.col("m_city") == "") | (F.col("o_city") == "")
+    beside = F.coalesce(distance_m() <= BESIDE_M + 1, F.lit(False)) | F.coalesce(same_address(), F.lit(False))
+    return city & ~far & F.when(F.col("o_core") == "", beside).otherwise(F.col("m_strict") == F.col("o_strict"))
 
 
 def place_keys(side: str, town: str, numbers: str, lon: float | None, lat: float | None) -> list[str]:
@@ -301,7 +306,7 @@ def strict_candidates(rows: DataFrame, left: str, right: str) -> DataFrame:
             keys = [[xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in strict_keys(*r)] for r in pdf[columns].itertuples(index=False, name=None)]
             yield pd.DataFrame({"side": pdf["side"], "h": pdf["h"], "city": pdf["city"], "k": keys})
 
-    keyed = rows.select("h", *columns).mapInPandas(run, "side string, h long, city string, k array<long>").select("side", "h", "city", F.explode("k").alias("k"))
+    keyed = rows.select("h", *columns).mapInPandas(run, "side string, h binary, city string, k array<long>").select("side", "h", "city", F.explode("k").alias("k"))
     a = keyed.filter(F.col("side") == left).select("k", F.col("h").alias("m_h"), F.col("city").alias("m_c"))
     b = keyed.filter(F.col("side") == right).select("k", F.col("h").alias("o_h"), F.col("city").alias("o_c"))
     return a.hint("merge").join(b, "k").filter("m_c = o_c or m_c = '' or o_c = ''").select("m_h", "o_h").distinct()
@@ -322,43 +327,63 @@ def calibrate(cosine: np.ndarray, agree: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def _fit(sample: list, cosine: str, label: str) -> tuple[float, float]:
+    known = [(r[cosine], float(r[label])) for r in sample if r[cosine] is not None and r[label] is not None]
+    return calibrate(np.array([x for x, _ in known]), np.array([y for _, y in known])) if known else (0.0, 0.0)
+
+
 def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     """(m_id, o_id, cosine, score, confidence) of the pairs that are the same facility; inputs are ``features`` of sides m and o."""
     rows = listings.union(elements.filter("not served"))
-    alike = F.xxhash64("side", "city", "strict", "core", "short", "town", "numbers", "lon", "lat")
-    rows = cut(spread(rows.withColumn("node", alike.cast("string"))))
+    compared = ["side", "city", "strict", "core", "short", "town", "numbers", "lon", "lat"]
+    alike = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in compared]))
+    rows = cut(spread(rows.withColumn("node", F.unhex(alike))))
     # rows that agree in everything compared are one node: copies, however many, are blocked and compared once
-    attributes = [c.split()[0] for c in FIELDS.split(", ") if c.split()[0] not in ("side", "id")]
-    once = rows.groupBy("side", F.col("node").alias("id")).agg(*[F.first(c).alias(c) for c in attributes])
-    nodes = cut(spread(once.select(*[c.split()[0] for c in FIELDS.split(", ")])))
-    vectors, weights = token_vectors(nodes), token_weights(nodes)
-    embedded = cut(embed(nodes, vectors, weights, "o").withColumn("h", F.xxhash64("side", "id")))
-    light = [c.split()[0] for c in FIELDS.split(", ") if c.split()[0] in ("id", "city", "strict", "core", "short", "town", "numbers", "lon", "lat")]
+    names = [c.split()[0] for c in FIELDS.split(", ")]
+    once = rows.groupBy("side", F.hex("node").alias("id"), F.col("node").alias("h")).agg(*[F.first(c).alias(c) for c in names if c not in ("side", "id")])
+    token_count = rows.select(F.explode(F.concat("name_tokens", "place_tokens")).alias("t")).agg(F.approx_count_distinct("t")).first()[0]
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (4 * token_count).bit_length()))
+    within = lambda c: F.transform(c, lambda t: F.pmod(t, F.lit(buckets)).cast("int")).alias(c)
+    nodes = cut(spread(once.select(*[within(c) if c.endswith("_tokens") else F.col(c) for c in names])))
+    total = nodes.count()
+    vectors, weights = token_vectors(nodes, buckets), token_weights(nodes, buckets, total)
+    bits = min(40, max(6, math.ceil(math.log2(max(1, total / PER_BUCKET)))))
+    embedded = cut(embed(nodes, vectors, weights, "o", bits).withColumn("h", F.unhex("id")))
+    light = [c for c in compared if c != "side"]
     side = lambda s, cols: embedded.filter(F.col("side") == s).select(*[F.col(c).alias(f"{s}_{c}") for c in ["h", *cols]])
-    pairs = candidates(embedded, "m", "o").union(strict_candidates(embedded, "m", "o")).distinct()
-    both = pairs.join(side("m", light), "m_h").join(side("o", light), "o_h")
-    cosine = F.aggregate(F.zip_with("m_vector", "o_vector", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v.cast("double"))
-    names = [f"{s}_{c}" for s in ("m", "o") for c in light if c != "id"]
+    strict = cut(strict_candidates(embedded, "m", "o"))
+    with_attributes = lambda df: df.join(side("m", light), "m_h").join(side("o", light), "o_h")
 
     @F.pandas_udf("double")
     def score(df: pd.DataFrame) -> pd.Series:
         return pd.Series([pair_score(r) for r in df.to_dict("records")], dtype="float64")
 
-    with_vectors = lambda df: df.join(side("m", ["vector"]), "m_h").join(side("o", ["vector"]), "o_h").withColumn("cosine", cosine)
-    ranked = cut(both.select("m_h", "o_h", "m_id", "o_id", "m_core", "m_strict", "o_core", score(F.struct(*names)).alias("score")))
-    few = ranked.select("m_h", "o_h", (F.col("score") > 0).cast("double").alias("agree")).orderBy(F.xxhash64("m_h", "o_h"), "m_h", "o_h").limit(CALIBRATION_PAIRS)
-    sample = with_vectors(few).select("cosine", "agree").collect()  # the bounded calibration sample
-    slope, offset = calibrate(np.array([r[0] for r in sample]), np.array([r[1] for r in sample])) if sample else (0.0, 0.0)
-    accepted = ranked.filter("score > 0")
+    pairs = with_attributes(candidates(embedded, "m", "o").union(strict).distinct()).filter(possible())
+    ranked = cut(pairs.select("m_h", "o_h", "m_core", "m_strict", "o_core", score(F.struct(*[f"{s}_{c}" for s in ("m", "o") for c in light])).alias("score")).filter("score > 0"))
+
+    dot = lambda v: F.when(F.exists(f"m_{v}", lambda x: x != 0) & F.exists(f"o_{v}", lambda x: x != 0), F.aggregate(F.zip_with(f"m_{v}", f"o_{v}", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x.cast("double")))
+    vectors_of = ["name_vector", "place_vector"]
+    with_cosines = lambda df: df.join(side("m", vectors_of), "m_h").join(side("o", vectors_of), "o_h").withColumn("name_cosine", dot("name_vector")).withColumn("place_cosine", dot("place_vector"))
+    # labels: places for the names' cosine, names for the places' cosine
+    there = F.coalesce(same_address(), F.lit(False)) | F.coalesce(distance_m() <= AT_M, F.lit(False))
+    elsewhere = F.coalesce(~same_address(), F.lit(False)) | F.coalesce(distance_m() > FAR_M, F.lit(False))
+    common = F.size(F.array_intersect(F.split("m_core", ""), F.split("o_core", "")))
+    named = (F.col("m_core") != "") & (F.col("o_core") != "")
+    few = strict.orderBy(F.xxhash64("m_h", "o_h"), "m_h", "o_h").limit(CALIBRATION_PAIRS)
+    labelled = with_attributes(few).withColumn("at_place", F.when(there & ~elsewhere, 1).when(elsewhere & ~there, 0)).withColumn("by_name", F.when(named & (F.col("m_core") == F.col("o_core")), 1).when(named & (common <= 1), 0))
+    sample = with_cosines(labelled).select("name_cosine", "place_cosine", "at_place", "by_name").collect()  # the bounded calibration sample
+    curves = {"name_cosine": _fit(sample, "name_cosine", "at_place"), "place_cosine": _fit(sample, "place_cosine", "by_name")}
+    odds = [F.lit(a) * F.col(c) + F.lit(b) for c, (a, b) in curves.items()]
+    both = F.when(F.col("name_cosine").isNull(), odds[1]).when(F.col("place_cosine").isNull(), odds[0]).otherwise((odds[0] + odds[1]) / 2)
+    probability = F.coalesce(1 / (1 + F.exp(-both)), F.lit(0.0))
+    # the exact comparison and the calibrated cosines are two witnesses: a match is wrong only if both are
+    judged = with_cosines(ranked).withColumn("confidence", 1 - (1 - 0.9 * F.col("score")) * (1 - probability)).withColumn("cosine", (F.coalesce("name_cosine", "place_cosine") + F.coalesce("place_cosine", "name_cosine")) / 2)
+    accepted = judged.filter(F.col("confidence") >= ACCEPT).select("m_h", "o_h", "m_core", "m_strict", "o_core", "cosine", "score", "confidence")
     # an unnamed element must point to one facility only, both where it stands and, for listings a little away, in the surroundings
-    unnamed, named = accepted.filter("o_core = ''"), accepted.filter("o_core <> ''")
-    several = lambda df: df.groupBy("o_id").agg(F.count_distinct("m_strict").alias("kinds"), F.count_distinct(F.substring("m_core", -2, 2)).alias("names")).filter("kinds > 1 or names > 2").select("o_id")
+    unnamed, found = accepted.filter("o_core = ''"), accepted.filter("o_core <> ''")
+    several = lambda df: df.groupBy("o_h").agg(F.count_distinct("m_strict").alias("kinds"), F.count_distinct(F.substring("m_core", -2, 2)).alias("names")).filter("kinds > 1 or names > 2").select("o_h")
     at = unnamed.filter("score >= 0.5")
-    beside = unnamed.filter("score < 0.5").join(several(unnamed), "o_id", "left_anti")
-    accepted = named.unionByName(at.join(several(at), "o_id", "left_anti").select(*named.columns)).unionByName(beside.select(*named.columns))
-    probability = 1 / (1 + F.exp(-(F.lit(slope) * F.col("cosine") + F.lit(offset))))
-    # the exact comparison and the calibrated cosine are two witnesses: a match is wrong only if both are
-    confidence = 1 - (1 - 0.9 * F.col("score")) * (1 - probability)
-    found = with_vectors(accepted).select(F.col("m_id").alias("m_node"), F.col("o_id").alias("o_node"), "cosine", "score", confidence.alias("confidence"))
-    member = lambda s: rows.filter(F.col("side") == s).select(F.col("node").alias(f"{s}_node"), F.col("id").alias(f"{s}_id"))
-    return found.join(member("m"), "m_node").join(member("o"), "o_node").select("m_id", "o_id", "cosine", "score", "confidence")
+    beside = unnamed.filter("score < 0.5").join(several(unnamed), "o_h", "left_anti")
+    found = found.unionByName(at.join(several(at), "o_h", "left_anti")).unionByName(beside)
+    member = lambda s: rows.filter(F.col("side") == s).select(F.col("node").alias(f"{s}_h"), F.col("id").alias(f"{s}_id"))
+    return found.join(member("m"), "m_h").join(member("o"), "o_h").select("m_id", "o_id", "cosine", "score", "confidence")
