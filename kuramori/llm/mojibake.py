@@ -3,19 +3,23 @@
 A *chain step* writes text back with the wrong charset and reads the bytes with the right one. Per line, every step is tried on
 the stretches of the line whose bytes form valid sequences of the right charset, so a line may be damaged in part. A candidate's
 description length is its size after compression with per-language zstandard dictionaries (the best language counts), plus the
-cost of characters no language model has seen, plus the cost of the chain. The shortest description wins and the search goes on
-from there (double damage); where nothing is shorter than the text as it stands, the line is left unchanged. Bytes already lost
-to U+FFFD stay lost, but for punctuation with one possible reading in the models; a text that keeps U+FFFD, control or
-private-use characters is reported as damaged though not (wholly) restored.
+cost of characters no language model has seen, plus the cost of the chain. Stretches are compressed with their surroundings; the rest
+of the line is the same before and after. The shortest description wins and the search goes on from there (double damage) for as long
+as it gets shorter; where nothing is shorter than the text as it stands, the line is left unchanged. Bytes already lost to U+FFFD stay
+lost, but for punctuation with one possible reading in the models. A text that keeps lost, control or private-use characters is reported
+as damaged though not (wholly) restored, if its description is shorter without them.
 
-The dictionaries are fitted to at most ``SAMPLE_DOCS`` passages per language, distinct ones from anywhere in the texts, chosen by
-their hash and themselves without any candidate; the seen characters are those of all texts without one. Every document is examined whole. Defined results: null and empty texts are undamaged."""
+All texts are screened in one pass, by the characters a damaged line can't do without (``leads``), then by patterns (``_gate``); it also
+counts the characters of the texts that pass, which are the seen ones. Only texts with a suspicious line are examined. The dictionaries
+are fitted to at most ``SAMPLE_DOCS`` passages per language, distinct ones from anywhere in the texts, chosen by their hash and
+themselves without any candidate. Every document is examined whole. Defined results: null and empty texts are undamaged."""
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -24,13 +28,12 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kuramori.session import spread
+from kuramori.session import cut, spread
 
 SAMPLE_DOCS = 500  # per language, after the hash order
 SAMPLE_CHARS = 4_000  # of a passage, for the dictionaries alone
 DICTIONARY_BYTES = 112_640
 CHAIN_BITS, STEP_BITS, UNSEEN_BITS, MIN_GAIN_BITS = 10, 6, 14, 8
-MAX_STEPS = 3
 CONTEXT = 24  # undamaged characters on either side that are compressed with a stretch
 STEPS = (
     ("cp1252", "utf-8"), ("mac_roman", "utf-8"), ("cp437", "utf-8"), ("cp850", "utf-8"), ("cp1251", "utf-8"), ("cp932", "utf-8"), ("gb18030", "utf-8"),
@@ -44,6 +47,8 @@ SEQUENCE = {
     "cp932": re.compile(rb"[\x81-\x9f\xe0-\xfc][\x40-\x7e\x80-\xfc]"),
     "euc_jp": re.compile(rb"[\xa1-\xf4][\xa1-\xfe]"),
 }
+# Residue of the escape-sequence charset when the escapes themselves were dropped: two-byte sets are switched on and off in plain sight.
+_ESCAPED = re.compile(r"\x1b?\$[@B]((?:[!-~]{2})+)\x1b?\([BJ]")
 LOST = "�"
 _CERTAIN = re.compile("[\u0080-\u009f-�\U000f0000-\U0010fffd]")
 _CJK = re.compile("[⺀-鿿가-힣豈-﫿]")
@@ -58,6 +63,31 @@ def _bytes_of(ch: str, charset: str) -> bytes | None:
         return bytes([ord(ch)]) if charset.startswith("cp12") and ord(ch) < 0x100 else None
 
 
+def _stand_in(through: bool):
+    """Error handler of the single-byte charsets: 0 for a lost character, a control for itself where it passes through, else 1."""
+
+    def handle(e: UnicodeEncodeError) -> tuple[bytes, int]:
+        return bytes(0 if c == LOST else ord(c) if through and ord(c) < 0x100 else 1 for c in e.object[e.start : e.end]), e.end
+
+    return handle
+
+
+codecs.register_error("kuramori_through", _stand_in(True))
+codecs.register_error("kuramori_stop", _stand_in(False))
+
+
+def _written(text: str, wrong: str) -> tuple[bytes, Sequence[int]]:
+    """Bytes of a text in the wrong charset, and the character each byte belongs to."""
+    if wrong not in ("cp932", "gb18030"):
+        return text.encode(wrong, "kuramori_through" if wrong.startswith("cp12") else "kuramori_stop"), range(len(text))
+    data, owner = bytearray(), []
+    for k, ch in enumerate(text):
+        b = b"\x00" if ch == LOST else _bytes_of(ch, wrong) or b"\x01"
+        data += b
+        owner += [k] * len(b)
+    return bytes(data), owner
+
+
 def _bridges(gap: bytes, right: str) -> bool:
     """Whether bytes between two valid sequences may belong to the same damaged stretch: digits and the like, or lost bytes."""
     if b"\x01" in gap or len(gap) > 12:
@@ -93,6 +123,22 @@ def _shown(byte: int, charset: str) -> list[str]:
         return out or [chr(byte)]
 
 
+@lru_cache(maxsize=None)
+def leads(wrong: str, right: str) -> frozenset[str]:
+    """Characters one of which every stretch of this step has: most clean lines have none, which a look at their letters tells."""
+    return frozenset(chr(c) for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000 and _is_lead(chr(c), wrong, right))
+
+
+def _is_lead(ch: str, wrong: str, right: str) -> bool:
+    if (wrong, right) == ("cp932", "euc_jp"):
+        return "\uff61" <= ch <= "\uff9f" or "\ue000" <= ch <= "\uf8ff" or ch == LOST
+    if wrong in ("cp932", "gb18030") and right == "utf-8" and (ch == LOST or ch in "\uff83\u8305" or "\u8117" <= ch <= "\u8137"):
+        return True
+    b = _bytes_of(ch, wrong)
+    lead = {"utf-8": range(0xC2, 0xF5), "cp932": (*range(0x81, 0xA0), *range(0xE0, 0xFD)), "euc_jp": range(0xA1, 0xF5)}[right]
+    return bool(b) and b[0] in lead
+
+
 def _short_is_plausible(text: str, a: int, z: int, restored: str, wrong: str) -> bool:
     """One or two sequences are a candidate only as western letters or punctuation, and for double-byte charsets, whose
     ideographs look like such sequences by chance, only beside ASCII letters."""
@@ -101,16 +147,30 @@ def _short_is_plausible(text: str, a: int, z: int, restored: str, wrong: str) ->
     return wrong not in ("cp932", "gb18030") or any(c.isascii() and (c.isalpha() or c == " ") for c in (text[a - 1 : a], text[z : z + 1], text[a:z][-1:]) if c)
 
 
-def stretches(text: str, wrong: str, right: str) -> list[tuple[int, int, str]]:
-    """(start, end, restored) of the parts of ``text`` that are valid ``right`` text read as ``wrong``."""
-    if not _gate(wrong, right).search(text):
+def escaped(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, restored) of the parts that are text of the escape-sequence charset, with or without the escapes."""
+    out = []
+    for m in _ESCAPED.finditer(text):
+        try:
+            out.append((m.start(), m.end(), (b"\x1b$B" + m.group(1).encode("ascii") + b"\x1b(B").decode("iso2022_jp")))
+        except UnicodeDecodeError:
+            continue
+    return out
+
+
+def suspicious(line: str) -> bool:
+    """Whether any step could apply to a line, or characters are certainly lost."""
+    if line.isascii():
+        return bool(_ESCAPED.search(line))
+    present = set(line)
+    return any(not leads(*s).isdisjoint(present) and bool(_gate(*s).search(line)) for s in STEPS) or bool(_CERTAIN.search(line)) or bool(_ESCAPED.search(line))
+
+
+def stretches(text: str, wrong: str, right: str, present: set[str] | None = None) -> list[tuple[int, int, str]]:
+    """(start, end, restored) of the parts of ``text`` that are valid ``right`` text read as ``wrong``; ``present`` are its characters."""
+    if leads(wrong, right).isdisjoint(text if present is None else present) or not _gate(wrong, right).search(text):
         return []
-    data, owner = bytearray(), []
-    for k, ch in enumerate(text):
-        b = b"\x00" if ch == LOST else _bytes_of(ch, wrong) or b"\x01"
-        data += b
-        owner += [k] * len(b)
-    raw = bytes(data)
+    raw, owner = _written(text, wrong)
     runs: list[list[int]] = []  # first byte, end byte, sequences
     for m in SEQUENCE[right].finditer(raw):
         if runs:
@@ -200,14 +260,16 @@ def _windows(text: str, spans: list[tuple[int, int, str]]) -> tuple[str, str]:
 
 
 def restore_line(line: str, model: Model) -> tuple[str, list[str]]:
-    """(line, chain) of least description length."""
+    """(line, chain) of least description length. Every step shortens the description by ``MIN_GAIN_BITS`` at least, so the search ends."""
     chain: list[str] = []
-    while len(chain) < MAX_STEPS:
+    while True:
         best: tuple[int, str, str] | None = None
-        for wrong, right in STEPS:
-            spans = [(a, z, model.punctuation(new)) for a, z, new in stretches(line, wrong, right)]
-            if not spans:
+        present = set(line)
+        found = [("us-ascii", "iso2022_jp", escaped(line))] + [(w, r, stretches(line, w, r, present)) for w, r in STEPS]
+        for wrong, right, parts in found:
+            if not parts:
                 continue
+            spans = [(a, z, model.punctuation(new)) for a, z, new in parts]
             before, after = _windows(line, spans)
             gain = model.bits(before) - model.bits(after) - STEP_BITS - (0 if chain else CHAIN_BITS)
             if gain >= MIN_GAIN_BITS and (best is None or gain > best[0]):
@@ -217,30 +279,36 @@ def restore_line(line: str, model: Model) -> tuple[str, list[str]]:
                     at = z
                 best = gain, "".join([*out, line[at:]]), f"{wrong}>{right}"
         if best is None:
-            break
+            return line, chain
         line = best[1]
         chain.append(best[2])
-    return line, chain
+
+
+def keeps_damage(line: str, model: Model) -> bool:
+    """Whether a line has lost, control or private-use characters without which its description is shorter; no chain is claimed or paid."""
+    if not (spans := [(m.start(), m.end(), "") for m in _CERTAIN.finditer(line)]):
+        return False
+    before, after = _windows(line, spans)
+    return model.bits(before) - model.bits(after) >= MIN_GAIN_BITS
 
 
 def restore(text: str | None, model: Model) -> tuple[str | None, str, str]:
     """(restored text, chains joined by ";", status): ``clean``, ``restored``, ``partly_restored`` or ``lost``."""
-    if not text or text.isascii():
+    if not text or text.isascii() and not _ESCAPED.search(text):
         return text, "", "clean"
-    lines, chains = [], []
+    lines, chains, left = [], [], False
     for line in text.split("\n"):
-        fixed, chain = (line, []) if line.isascii() else restore_line(line, model)
+        fixed, chain = restore_line(line, model) if suspicious(line) else (line, [])
         lines.append(fixed)
         chains += [c for c in ["+".join(chain)] if c and c not in chains]
-    out = "\n".join(lines)
-    left = bool(_CERTAIN.search(out))
+        left = left or keeps_damage(fixed, model)
     status = ("partly_restored" if left else "restored") if chains else ("lost" if left else "clean")
-    return out, ";".join(chains), status
+    return "\n".join(lines), ";".join(chains), status
 
 
 def has_candidate(text: str) -> bool:
     """True where any step could apply, or characters are certainly lost: such a text never enters a dictionary."""
-    return bool(_CERTAIN.search(text)) or any(stretches(line, w, r) for line in text.split("\n") if not line.isascii() for w, r in STEPS)
+    return bool(_CERTAIN.search(text)) or any(escaped(line) or (not line.isascii() and any(stretches(line, w, r) for w, r in STEPS)) for line in text.split("\n"))
 
 
 def passages(text: str) -> list[str]:
@@ -248,24 +316,52 @@ def passages(text: str) -> list[str]:
     return [text[i : i + SAMPLE_CHARS] for i in range(0, len(text), SAMPLE_CHARS)]
 
 
-def seen_characters(documents: DataFrame, text: str = "text") -> dict[str, int]:
-    """How often each character occurs in the distinct undamaged texts; as many rows as there are characters come to the driver."""
+def _copies(documents: DataFrame, text: str) -> DataFrame:
+    """(t, n): one of each group of equal texts, and how many too many there are. Only digests are shuffled to find the groups."""
+    digest = F.xxhash64(text)
+    several = documents.select(digest.alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    return documents.select(digest.alias("h"), F.col(text).alias("t")).join(several, "h").groupBy("h", "n").agg(F.min("t").alias("t")).select("t", (F.col("n") - 1).alias("n"))
+
+
+def screen(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """One pass over all texts, which stay where they are: (key, text) of those with a suspicious line, and (c, n), how often each
+    character occurs in the others; equal texts count once."""
+    kind = documents.schema[key].dataType.simpleString()
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
         for pdf in batches:
-            for t in pdf["t"]:
-                if not has_candidate(t):
+            odd = []
+            for k, t in zip(pdf["k"], pdf["t"]):
+                if any(map(suspicious, t.split("\n"))):
+                    odd.append((k, t, None, None))
+                else:
                     seen.update(t)
-        yield pd.DataFrame({"c": list(seen), "n": list(seen.values())}).astype({"c": "str", "n": "int64"})
+            yield frame(odd)
+        yield frame([(None, None, c, n) for c, n in seen.items()])
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["k", "t", "c", "n"], dtype=object)
+
+    def too_many(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[str] = Counter()
+        for pdf in batches:
+            for t, n in zip(pdf["t"], pdf["n"]):
+                if not any(map(suspicious, t.split("\n"))):
+                    seen.update({c: n * m for c, m in Counter(t).items()})
+        yield frame([(None, None, c, -n) for c, n in seen.items()])
 
-    distinct = spread(documents.filter(F.length(text) > 0).select(F.col(text).alias("t")).distinct())
-    return {r["c"]: r["n"] for r in distinct.mapInPandas(count, "c string, n long").groupBy("c").agg(F.sum("n").alias("n")).collect()}
+    filled = documents.filter(F.length(text) > 0)
+    rows = filled.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    fields = f"k {kind}, t string, c string, n long"
+    return rows.mapInPandas(run, fields).union(_copies(filled, text).mapInPandas(too_many, fields))
 
 
-def fit(documents: DataFrame, text: str = "text", lang: str = "lang") -> tuple[dict[str, bytes], dict[str, int]]:
-    """Dictionaries from a bounded sample of distinct passages per language, and the characters of all undamaged texts; the sample
-    and the characters alone come to the driver."""
+def fit(documents: DataFrame, text: str = "text", lang: str = "lang", screened: DataFrame | None = None) -> tuple[dict[str, bytes], dict[str, int]]:
+    """Dictionaries from a bounded sample of distinct passages per language, and the characters of all texts that were found clean on
+    screening; the sample and as many rows as there are different characters come to the driver."""
+    screened = screen(documents, text, text) if screened is None else screened
+    seen = {r["c"]: r["n"] for r in screened.filter("c is not null").groupBy("c").agg(F.sum("n").alias("n")).collect()}
 
     @F.pandas_udf("array<string>")
     def parts(s: pd.Series) -> pd.Series:
@@ -276,7 +372,7 @@ def fit(documents: DataFrame, text: str = "text", lang: str = "lang") -> tuple[d
     # copies have one hash and one rank: only hashes are ranked, and the passages of the chosen ones fetched once each
     ranked = piece.select("_l", "_h").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("_l").orderBy("_h"))).filter(F.col("_n") <= 2 * SAMPLE_DOCS)
     chosen = piece.join(ranked.select("_l", "_h"), ["_l", "_h"], "left_semi").groupBy("_l", "_h").agg(F.min("_p").alias("_p"))
-    few = sorted(chosen.limit(64 * SAMPLE_DOCS).collect(), key=lambda r: (r["_l"], r["_h"]))
+    few = sorted(chosen.collect(), key=lambda r: (r["_l"], r["_h"]))
     by: dict[str, list[str]] = {}
     for r in few:
         own = by.setdefault(r["_l"], [])
@@ -291,19 +387,19 @@ def fit(documents: DataFrame, text: str = "text", lang: str = "lang") -> tuple[d
             out[language] = zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, lines)) // 8), lines).as_bytes()
         except zstandard.ZstdError:  # too little to train on: the sample itself is the dictionary
             out[language] = b"\n".join(lines)[:DICTIONARY_BYTES]
-    return out, seen_characters(documents, text)
+    return out, seen
 
 
 def restored_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(key, status, chains, restored) of the documents that are damaged, wholly or in part."""
-    dictionaries, seen = fit(documents, text, lang)
+    screened = cut(screen(documents, key, text))
+    dictionaries, seen = fit(documents, text, lang, screened)
     kind = documents.schema[key].dataType.simpleString()
 
     def examine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Model(dictionaries, Counter(seen))
         for pdf in batches:
-            rows = [(k, status, chains, fixed) for k, t in zip(pdf[key], pdf[text]) for fixed, chains, status in [restore(t, model)] if status != "clean"]
+            rows = [(k, status, chains, fixed) for k, t in zip(pdf["k"], pdf["t"]) for fixed, chains, status in [restore(t, model)] if status != "clean"]
             yield pd.DataFrame(rows, columns=[key, "status", "chains", "restored"])
 
-    odd = documents.select(key, text).filter(F.col(text).rlike(r"[^\x00-\x7f]"))
-    return odd.mapInPandas(examine, f"`{key}` {kind}, status string, chains string, restored string")
+    return spread(screened.filter("t is not null").select("k", "t")).mapInPandas(examine, f"`{key}` {kind}, status string, chains string, restored string")

@@ -75,3 +75,12 @@ def test_copies_do_not_fill_the_sample(spark, corpus, monkeypatch):
     assert any("ňur".encode() in x for x in sampled) and len({x for x in sampled}) > 50
     assert seen["ň"] == 1 and set("".join(rows)) <= set(seen)
     assert seen["D"] <= sum(t.count("D") for t in set(rows) | {late})
+
+
+def test_residue_of_escape_sequences(model):
+    line = "台帳の写しは三通あり、うち一通に朱印が押されている。"
+    raw = line.encode("iso2022_jp").decode("ascii")
+    for damaged in (raw, raw.replace("\x1b", "")):
+        assert restore(damaged, model)[:1] + restore(damaged, model)[2:] == (line, "restored")
+    for clean in ("Costs $B12 (B) or $Bill (J)", "a $B b", ""):
+        assert restore(clean, model)[2] == "clean"
