@@ -56,8 +56,8 @@ def resolve_codes(df: DataFrame, fields: Sequence[str], codelist: DataFrame, by_
     rest = [c for c in df.columns if not any(c in (f"{f}_code", f"{f}_label", f"{f}_codespace") for f in fields)]
     triple = lambda f: F.struct(F.lit(f).alias("field"), F.col(f"{f}_code").alias("code"), F.col(f"{f}_label").alias("label"), F.element_at(F.split(F.coalesce(f"{f}_codespace", F.lit("")), "/"), -1).alias("file"))
     long = df.select(*rest, F.explode(F.array(*[triple(f) for f in fields])).alias("x")).select(*rest, "x.*").filter(F.coalesce("code", F.lit("")) != "")
-    a = F.broadcast(codelist.select("file", "code", F.col("label").alias("_by_file")))
-    b = F.broadcast(by_type.select(F.col("type").alias(type_column), "field", "code", F.col("label").alias("_by_type")))
+    a = codelist.select("file", "code", F.col("label").alias("_by_file"))
+    b = by_type.select(F.col("type").alias(type_column), "field", "code", F.col("label").alias("_by_type"))
     out = long.join(a, ["file", "code"], "left").join(b, [type_column, "field", "code"], "left")
     own = F.nullif(F.trim("label"), F.lit(""))
     status = F.when(own.isNotNull(), "existing").when(F.col("_by_file").isNotNull(), "codelist").when(F.col("_by_type").isNotNull(), "by_type").otherwise("unresolved")

@@ -186,14 +186,15 @@ def grid_max(points: DataFrame, x: str, y: str, value: str, cell: float) -> Data
 def lattice_spacing(points: DataFrame, axis: str, decimals: int = 7) -> DataFrame:
     """(spacing): median of the small differences of neighbouring distinct coordinates (those up to 1.6 times their 35th percentile).
 
-    The differences are taken per coarse block with the block's least value carried over, so no global sort lands in one task."""
-    v = points.select(F.round(axis, decimals).alias("v")).filter("v is not null").distinct().withColumn("b", F.floor(F.col("v") * 100))
+    The differences are taken per coarse block with the block's least value carried over, so no global sort lands in one task; the
+    quantiles are those of the counts per difference, as many rows as there are different ones."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("b").orderBy("v")
-    inside = v.withColumn("d", F.col("v") - F.lag("v").over(w)).filter("d is not null").select("d")
+    v = points.select(F.round(axis, decimals).alias("v")).filter("v is not null").distinct().withColumn("b", F.floor(F.col("v") * 100))
+    step = lambda a, b: F.round(F.col(a) - b, decimals + 2).alias("d")
+    inside = v.select(step("v", F.lag("v").over(Window.partitionBy("b").orderBy("v"))))
     ends = v.groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    bridge = ends.withColumn("d", F.col("lo") - F.lag("hi").over(Window.partitionBy(F.floor(F.col("b") / 1_000_000)).orderBy("b"))).filter("d is not null").select("d")
-    diffs = inside.union(bridge).filter("d > 0")
-    low = diffs.agg(F.percentile("d", F.lit(0.35)).alias("p"))
-    return diffs.join(F.broadcast(low)).filter("d <= 1.6 * p").agg(F.median("d").alias("spacing"))
+    bridge = ends.select(step("lo", F.lag("hi").over(Window.partitionBy(F.floor(F.col("b") / 1_000_000)).orderBy("b"))))
+    counts = inside.union(bridge).filter("d > 0").groupBy("d").agg(F.count("*").alias("n"))
+    low = counts.agg(F.percentile("d", F.lit(0.35), F.col("n")).alias("p"))
+    return counts.join(F.broadcast(low)).filter("d <= 1.6 * p").agg(F.round(F.percentile("d", F.lit(0.5), F.col("n")), decimals + 2).alias("spacing"))

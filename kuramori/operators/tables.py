@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kuramori.session import cut
+
 
 def crosstab(df: DataFrame, rows: Sequence[str], column: str, order: Sequence[str], total_excludes: Sequence[str] = (), drop_empty: bool = False) -> DataFrame:
     """Counts by ``rows`` and the values of ``column`` in a fixed order (absent ones 0), with ``Total``.
@@ -24,9 +26,12 @@ def crosstab(df: DataFrame, rows: Sequence[str], column: str, order: Sequence[st
     return out.filter("Total > 0") if drop_empty else out
 
 
-def crosstab_cartesian(df: DataFrame, a: str, b: str, column: str, order: Sequence[str]) -> DataFrame:
-    """Crosstab over every combination of the observed values of two small keys, zero rows included."""
-    keys = df.select(a).distinct().join(F.broadcast(df.select(b).distinct()))
+def crosstab_cartesian(df: DataFrame, a: str, b: str, column: str, order: Sequence[str], most: int = 10_000) -> DataFrame:
+    """Crosstab over every combination of the observed values of two small keys, zero rows included; more than ``most`` values raise."""
+    sides = [df.select(k).distinct() for k in (a, b)]
+    if any(side.limit(most + 1).count() > most for side in sides):
+        raise ValueError(f"more than {most} values of {a} or {b}")
+    keys = sides[0].join(F.broadcast(sides[1]))
     cells = [F.count_if((F.col(column) == v)).alias(v) for v in order]
     counted = df.groupBy(a, b).agg(*cells)
     same = (keys[a].eqNullSafe(counted[a])) & (keys[b].eqNullSafe(counted[b]))
@@ -69,3 +74,15 @@ def ordered_unique(value: Column, position: Column) -> Column:
 def sorted_unique(value: Column) -> Column:
     """Aggregate: distinct non-blank values in code point order, joined with ";"."""
     return F.array_join(F.array_sort(F.collect_set(F.when(F.coalesce(F.trim(value), F.lit("")) != "", F.trim(value)))), ";")
+
+
+def numbered(df: DataFrame, group: str, order: str, number: str = "number") -> DataFrame:
+    """``df`` with the running number (from 1) of each row within its group, by a unique order column. Rows are sorted by range over the
+    cluster, numbered within each partition and raised by the counts of the partitions before, so no group lands in one task."""
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = cut(df.repartitionByRange(n, group, order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    here = F.row_number().over(Window.partitionBy(group, "_part").orderBy(order))
+    at = ranged.withColumn("_here", here)
+    return at.join(counts.withColumnsRenamed({group: "_group", "_part": "_other"}), F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_other"))).select(*df.columns, (F.col("_here") + F.col("_before")).alias(number))

@@ -188,12 +188,20 @@ def mesh_of_points(spark, d):
     return p.groupBy("scenario", code_of(F.col("lon"), F.col("lat"), 8).alias("mesh")).agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
 
 
-@query(None)
+BOX_SQL = f"""WITH p AS (SELECT point_id, lon, lat, {MESH_SQL.format(x='lon', y='lat')} AS third, lat*120 - floor(lat*120) AS fy, (lon-100)*80 - floor((lon-100)*80) AS fx FROM {G} g WHERE lon IS NOT NULL AND lat IS NOT NULL),
+o AS (SELECT *, substr(third,1,2)::INT*2.0::DOUBLE/3 + substr(third,5,1)::INT*5.0::DOUBLE/60 + substr(third,7,1)::INT*30.0::DOUBLE/3600 AS y0, 100.0::DOUBLE + substr(third,3,2)::INT + substr(third,6,1)::INT*7.5::DOUBLE/60 + substr(third,8,1)::INT*45.0::DOUBLE/3600 AS x0,
+  least(19, floor(fy*20)::INT) AS iy, least(19, floor(fx*20)::INT) AS ix, floor(fy*4)::INT AS qy, floor(fx*4)::INT AS qx FROM p),
+b AS (SELECT point_id, lon, lat, third || lpad(iy::VARCHAR,2,'0') || lpad(ix::VARCHAR,2,'0') AS mesh, x0 + ix*(45.0::DOUBLE/3600/20) AS xmin, y0 + iy*(30.0::DOUBLE/3600/20) AS ymin, 45.0::DOUBLE/3600/20 AS w, 30.0::DOUBLE/3600/20 AS h FROM o
+  UNION ALL SELECT point_id, lon, lat, third || (1 + qx//2 + 2*(qy//2))::VARCHAR || (1 + qx%2 + 2*(qy%2))::VARCHAR, x0 + qx*(45.0::DOUBLE/3600/4), y0 + qy*(30.0::DOUBLE/3600/4), 45.0::DOUBLE/3600/4, 30.0::DOUBLE/3600/4 FROM o)
+SELECT point_id, lon, lat, mesh, round(xmin, 8) AS xmin, round(ymin, 8) AS ymin, round(xmin + w, 8) AS xmax, round(ymin + h, 8) AS ymax FROM b"""
+
+
+@query(BOX_SQL)
 def mesh_boxes(spark, d):
     """50 m and 250 m cells of the points, decoded; every point lies in its own cell (tested)."""
     p = V.points(spark, d).filter("lon is not null and lat is not null")
     codes = p.select("point_id", "lon", "lat", F.explode(F.array(code_of(F.col("lon"), F.col("lat"), 12), code_of(F.col("lon"), F.col("lat"), 10))).alias("mesh"))
-    return codes.select("point_id", "lon", "lat", "mesh", cell_box(F.col("mesh")).alias("b")).select("point_id", "lon", "lat", "mesh", "b.*")
+    return codes.select("point_id", "lon", "lat", "mesh", cell_box(F.col("mesh")).alias("b")).select("point_id", "lon", "lat", "mesh", *[F.round(f"b.{c}", 8).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")])
 
 
 @query(f"""WITH e AS (SELECT gml_id, ring_no, i, ring[i] AS a, ring[CASE WHEN i = len(ring) THEN 1 ELSE i + 1 END] AS b FROM (SELECT gml_id, ring_no, ring, unnest(range(1, len(ring) + 1)) AS i FROM (SELECT gml_id, generate_subscripts(rings, 1) AS ring_no, unnest(rings) AS ring FROM buildings))),
@@ -223,12 +231,12 @@ def nearest_point_depth(spark, d):
 
 
 HAV = "2*6371008.8*asin(least(1.0, sqrt(pow(sin(radians({b}-{a})/2),2)+cos(radians({a}))*cos(radians({b}))*pow(sin(radians({d}-{c})/2),2))))"
-@query(f"""WITH b AS (SELECT gml_id, avg(p.x) AS bx, avg(p.y) AS by FROM (SELECT gml_id, unnest(rings[1]) AS p FROM buildings) GROUP BY gml_id), m AS (SELECT * FROM {L} l WHERE located),
+@query(f"""WITH b AS (SELECT gml_id, avg(p.x) AS bx, avg(p.y) AS by FROM (SELECT gml_id, unnest(flatten(rings)) AS p FROM buildings) GROUP BY gml_id), m AS (SELECT * FROM {L} l WHERE located),
 c AS (SELECT m.museum_id, b.gml_id, round({HAV.format(a='m.latitude', b='b.by', c='m.longitude', d='b.bx')}, 3) AS metres FROM m JOIN b ON abs(b.by - m.latitude) < 0.0019 AND abs(b.bx - m.longitude) < 0.003)
 SELECT museum_id, gml_id, metres FROM c WHERE metres <= 200 QUALIFY row_number() OVER (PARTITION BY museum_id ORDER BY metres, gml_id) <= 12""")
 def review_neighbourhood(spark, d):
     """At most 12 nearest buildings within 200 m of each located listing."""
-    ring = table(spark, d, "buildings").select("gml_id", F.explode(F.get("rings", F.lit(0))).alias("p"))
+    ring = table(spark, d, "buildings").select("gml_id", F.explode(F.flatten("rings")).alias("p"))
     b = ring.groupBy("gml_id").agg(F.avg("p.x").alias("bx"), F.avg("p.y").alias("by"))
     m = V.listings(spark, d).filter("located").select("museum_id", "longitude", "latitude")
     near = spatial.within_distance(m, b, 200.0, ("longitude", "latitude"), ("bx", "by")).withColumn("metres", F.round("distance_m", 3)).filter("metres <= 200")
@@ -241,7 +249,8 @@ def grid_max_depth(spark, d):
     return spatial.grid_max(V.points(spark, d), "lon", "lat", "depth", 0.01)
 
 
-@query(None)
+@query(f"""WITH v AS (SELECT DISTINCT round(lat, 7) AS v FROM {G} g WHERE lat IS NOT NULL), d AS (SELECT round(v - lag(v) OVER (ORDER BY v), 9) AS d FROM v), k AS (SELECT d FROM d WHERE d > 0)
+SELECT round(quantile_cont(d, 0.5), 9) AS spacing FROM k WHERE d <= 1.6 * (SELECT quantile_cont(d, 0.35) FROM k)""")
 def lattice_spacing(spark, d):
     """Spacing of the points' latitudes."""
     return spatial.lattice_spacing(V.points(spark, d), "lat")
@@ -283,13 +292,13 @@ def building_link_methods(spark, d):
     return counted.select("gml_id", "records", F.array_join(F.array_sort(F.array_distinct(named)), ";").alias("methods"))
 
 
-@query(f"""WITH l AS (SELECT record_uid, unnest(matched_building_ids) AS gml_id FROM {R} r), c AS (SELECT gml_id, avg(p.x) AS lon, avg(p.y) AS lat FROM (SELECT gml_id, unnest(rings[1]) AS p FROM buildings) GROUP BY gml_id),
+@query(f"""WITH l AS (SELECT record_uid, unnest(matched_building_ids) AS gml_id FROM {R} r), c AS (SELECT gml_id, avg(p.x) AS lon, avg(p.y) AS lat FROM (SELECT gml_id, unnest(flatten(rings)) AS p FROM buildings) GROUP BY gml_id),
 b AS (SELECT DISTINCT record_uid, 'building' AS basis, round(lon, 6) AS lon, round(lat, 6) AS lat FROM l JOIN c USING (gml_id))
 SELECT * FROM b UNION ALL SELECT record_uid, 'record', round(x, 6), round(y, 6) FROM {P} p WHERE located AND record_uid NOT IN (SELECT record_uid FROM b)""")
 def analysis_locations(spark, d):
     """Every matched building's point, else the record's own."""
     r = V.records(spark, d)
-    ring = table(spark, d, "buildings").select("gml_id", F.explode(F.get("rings", F.lit(0))).alias("p"))
+    ring = table(spark, d, "buildings").select("gml_id", F.explode(F.flatten("rings")).alias("p"))
     c = ring.groupBy("gml_id").agg(F.round(F.avg("p.x"), 6).alias("lon"), F.round(F.avg("p.y"), 6).alias("lat"))
     b = r.select("record_uid", F.explode("matched_building_ids").alias("gml_id")).join(c, "gml_id").select("record_uid", F.lit("building").alias("basis"), "lon", "lat").distinct()
     rest = r.filter("located").join(b.select("record_uid"), "record_uid", "left_anti").select("record_uid", F.lit("record").alias("basis"), F.round("x", 6).alias("lon"), F.round("y", 6).alias("lat"))
@@ -438,7 +447,7 @@ def complex_assignment(spark, d):
     )
     k = V.records(spark, d).select("record_uid", "code", key.alias("key"))
     g = k.groupBy("code", "key").agg(F.min("record_uid").alias("least"))
-    n = g.withColumn("number", F.dense_rank().over(Window.partitionBy("code").orderBy("least"))).drop("least")
+    n = tables.numbered(g, "code", "least").drop("least")
     return k.join(n, ["code", "key"]).select("record_uid", F.concat("code", F.lit("-HG"), F.lpad(F.col("number").cast("string"), 5, "0")).alias("complex"))
 
 
@@ -600,7 +609,7 @@ def municipality_repair(spark, d):
     """Code filled from the name, name from the code, contradictions flagged."""
     m = table(spark, d, "town_master").select(F.col("municipality_code").alias("c"), F.col("municipality_name").alias("n")).distinct()
     by_name, by_code = m.select(F.col("n").alias("municipality"), F.col("c").alias("by_name")), m.select(F.col("c").alias("code"), F.col("n").alias("by_code"))
-    j = V.records(spark, d).select("record_uid", "code", "municipality").join(F.broadcast(by_name), "municipality", "left").join(F.broadcast(by_code), "code", "left")
+    j = V.records(spark, d).select("record_uid", "code", "municipality").join(by_name, "municipality", "left").join(by_code, "code", "left")
     return j.select("record_uid", F.coalesce("by_name", "code").alias("code"), F.coalesce(F.nullif("municipality", F.lit("")), "by_code").alias("municipality"), (F.col("by_name").isNotNull() & (F.col("by_name") != F.col("code"))).alias("contradicted"))
 
 
@@ -618,7 +627,7 @@ def choropleth_counts(spark, d):
     """Counts per region with zeros, and what no region takes."""
     r = V.records(spark, d).select("record_uid", F.col("code").alias("municipality_code"))
     t = table(spark, d, "town_master").select("municipality_code", "municipality_name").distinct()
-    mapped = F.broadcast(t).join(r.groupBy("municipality_code").count(), "municipality_code", "left").select("municipality_code", "municipality_name", F.coalesce("count", F.lit(0)).alias("records"))
+    mapped = t.join(r.groupBy("municipality_code").count(), "municipality_code", "left").select("municipality_code", "municipality_name", F.coalesce("count", F.lit(0)).alias("records"))
     return mapped.union(r.join(t, "municipality_code", "left_anti").agg(F.count("*").alias("records")).select(F.lit("unmapped"), F.lit(""), "records"))
 
 
@@ -701,7 +710,9 @@ def disaster_layers_wide(spark, d):
     return pipelines.disaster_layers(V.risks(spark, d), table(spark, d, "buildings"), by_file, by_type, 40)["wide"]
 
 
-@query(None)
+@query(f"""WITH r AS (SELECT record_uid, {MERC_X.format(x='x')} AS mx, {MERC_Y.format(y='y')} AS my FROM {P} p WHERE located), g AS (SELECT depth, {MERC_X.format(x='lon')} AS gx, {MERC_Y.format(y='lat')} AS gy FROM {G} p),
+c AS (SELECT r.record_uid, g.depth, (mx-gx)*(mx-gx)+(my-gy)*(my-gy) AS d2 FROM r JOIN g ON gx BETWEEN mx-25 AND mx+25 AND gy BETWEEN my-25 AND my+25), n AS (SELECT record_uid, depth FROM c WHERE d2 <= 625 QUALIFY rank() OVER (PARTITION BY record_uid ORDER BY d2) = 1),
+w AS (SELECT record_uid, max(depth) AS value FROM n GROUP BY 1) SELECT q.record_uid, w.value, {DEPTH_A.format(x='w.value')} AS class FROM {R} q LEFT JOIN w USING (record_uid)""")
 def record_depth_classes(spark, d):
     """Worst nearest depth of every record and its class."""
     return pipelines.point_hazard(V.records(spark, d).select("record_uid", "x", "y", "located"), V.points(spark, d), "record_uid", "depth", C.depth_class(F.col("value")))
@@ -806,7 +817,10 @@ def first_filled_values(spark, d):
     return V.listings(spark, d).groupBy("code").agg(pick("facility_name").alias("first_name"), pick("notes").alias("first_note"))
 
 
-@query(None)
+@query(f"""WITH l AS (SELECT DISTINCT record_uid, unnest(matched_building_ids) AS gml_id FROM {R} r), i AS (SELECT gml_id, string_agg(record_uid::VARCHAR, ';' ORDER BY record_uid::VARCHAR) AS record_ids, list(record_uid ORDER BY record_uid::VARCHAR) AS ids FROM l GROUP BY 1),
+f AS (SELECT gml_id, record_ids, ids, unnest(range(1, len(ids) + 1)) AS p FROM i), v AS (SELECT f.gml_id, f.record_ids, f.p, trim(r.name) AS name, trim(r.owner) AS owner FROM f JOIN {R} r ON r.record_uid = f.ids[f.p]),
+n AS (SELECT gml_id, string_agg(v, ';' ORDER BY p) AS name FROM (SELECT gml_id, name AS v, min(p) AS p FROM v WHERE coalesce(name,'') <> '' GROUP BY 1, 2) GROUP BY 1), o AS (SELECT gml_id, string_agg(v, ';' ORDER BY p) AS owner FROM (SELECT gml_id, owner AS v, min(p) AS p FROM v WHERE coalesce(owner,'') <> '' GROUP BY 1, 2) GROUP BY 1)
+SELECT i.record_ids, i.gml_id, coalesce(n.name,'') AS name, coalesce(o.owner,'') AS owner FROM i LEFT JOIN n USING (gml_id) LEFT JOIN o USING (gml_id)""")
 def buildings_with_records(spark, d):
     """Names and owners of the records matched to each building, back-filled through the list of their ids."""
     links = V.records(spark, d).select("record_uid", F.explode("matched_building_ids").alias("gml_id")).groupBy("gml_id").agg(tables.sorted_unique(F.col("record_uid").cast("string")).alias("record_ids"))

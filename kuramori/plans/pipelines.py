@@ -39,15 +39,16 @@ def extract_package(records: DataFrame, buildings: DataFrame) -> dict[str, DataF
     matched = links.groupBy("record_uid").agg(F.count("*").alias("buildings"))
     r = records.join(matched, "record_uid", "left")
     in_complex = F.coalesce("complex_id", F.lit("")) != ""
-    size = F.count("*").over(Window.partitionBy("complex_id"))
-    hit = F.max(F.col("buildings").isNotNull().cast("int")).over(Window.partitionBy("complex_id"))
+    # counted per complex and joined: rows without one, however many, form no group
+    per = r.filter(in_complex).groupBy("complex_id").agg(F.count("*").alias("_size"), F.max(F.col("buildings").isNotNull().cast("int")).alias("_hit"))
+    r = r.join(per, "complex_id", "left")
     state = (
         F.when(F.col("buildings").isNotNull(), "building_matched")
         .when(in_complex & (F.col("_size") > 1) & (F.col("source_location_role") == "shared_complex_coordinate"), "complex_only")
         .when(F.col("located"), "point_unmatched")
         .otherwise("unlocated")
     )
-    r = r.withColumn("_size", size).withColumn("_hit", hit).withColumn("state", state)
+    r = r.withColumn("state", state)
     members = links.join(records.select("record_uid", "complex_id"), "record_uid").filter("coalesce(complex_id, '') <> ''").select("complex_id", "gml_id").distinct()
     summary = r.filter(in_complex).groupBy("complex_id").agg(F.count("*").alias("records"), F.count_if(F.col("state") == "building_matched").alias("matched_records"), F.max("_hit").alias("_hit"), F.min("name").alias("first_name"))
     summary = summary.withColumn("complex_status", F.when(F.col("_hit") == 1, "matched_building_complex").when(F.col("records") > 1, "complex_only").otherwise("single_unmatched")).drop("_hit")
@@ -82,7 +83,7 @@ def classify(values: DataFrame, glossary: DataFrame, overrides: DataFrame, keys:
     v = values.withColumn("_k", X.squeezed(F.col("raw_value")))
     last = best_row(overrides.withColumn("_o", F.col("position")), list(keys), [F.col("_o")], descending=True).select(*keys, F.col("type_code").alias("_override"))
     rules = glossary.withColumn("_k", X.squeezed(F.col("match_value"))).groupBy("_k").agg(F.min_by(F.struct("type_code", "confidence"), F.struct("priority", "match_value")).alias("_rule"))
-    out = v.join(F.broadcast(rules), "_k", "left").join(last, list(keys), "left")
+    out = v.join(rules, "_k", "left").join(last, list(keys), "left")
     how = F.when(F.col("_override").isNotNull(), "override").when(F.col("_rule").isNotNull(), "glossary").otherwise("none")
     confidence = F.when(F.col("_override").isNotNull(), "high").otherwise(F.coalesce("_rule.confidence", F.lit("low")))
     return out.select(*values.columns, F.coalesce("_override", "_rule.type_code").alias("type_code"), confidence.alias("confidence"), how.alias("matched_by"))

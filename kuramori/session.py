@@ -26,11 +26,21 @@ def build_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of ``spark.checkpoint.dir``; only where it is unset (tests) make a temporary one."""
+    """Use the shared folder of ``spark.checkpoint.dir``. Where it is unset a local session (tests) gets a temporary one; on a cluster,
+    whose machines share no such folder, that is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kuramori-checkpoint-")
-        sc.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kuramori-checkpoint-"))
+
+
+def checked_broadcast(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` rows; beyond that as it is, so that the join shuffles."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def cut(df: DataFrame) -> DataFrame:

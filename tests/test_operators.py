@@ -137,3 +137,34 @@ def test_selections(spark):
     p = spark.createDataFrame([(139.0, 35.0), (139.2, 35.0)], "x double, y double")
     assert S.near_extent(p, box, ("x", "y")).count() == 1 and S.near_extent(p, None, ("x", "y")).count() == 2
     assert S.in_bounds(p, p.limit(0), ("x", "y"), ("x", "y")).count() == 0
+
+
+def test_numbering_of_a_hot_group(spark):
+    from kuramori.operators.tables import numbered
+
+    rows = [("hot" if i % 2 else None if i % 7 == 0 else f"g{i % 5}", i) for i in range(3000)]
+    got = numbered(spark.createDataFrame(rows, "g string, o int"), "g", "o").collect()
+    by = {}
+    for g, o in rows:
+        by.setdefault(g, []).append(o)
+    assert {(r.g, r.o): r.number for r in got} == {(g, o): k for g, os in by.items() for k, o in enumerate(sorted(os), 1)}
+    assert numbered(spark.createDataFrame([], "g string, o int"), "g", "o").count() == 0
+
+
+def test_cartesian_crosstab_refuses_large_keys(spark):
+    from kuramori.operators.tables import crosstab_cartesian
+
+    df = spark.createDataFrame([(i, i % 2, "x") for i in range(20)], "a int, b int, c string")
+    assert crosstab_cartesian(df, "a", "b", "c", ["x"]).count() == 40
+    with pytest.raises(ValueError):
+        crosstab_cartesian(df, "a", "b", "c", ["x"], most=10)
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from kuramori.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, default: default)))
