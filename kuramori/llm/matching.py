@@ -34,8 +34,8 @@ from kuramori.llm.names import facility_profile, leave_one_out, leave_out
 from kuramori.llm.uniform import consistent_text
 from kuramori.session import cut, spread
 
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 12, 1 << 18  # of tokens: four times as many as tokens, within these; bounds the vectors' table
-WALKS, STEPS, SLOT, DIMENSIONS = 4, 4, 4, 32
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 12, 1 << 18  # of tokens: twice as many as tokens, within these; bounds the vectors' table
+WALKS, STEPS, SLOT, DIMENSIONS = 4, 3, 4, 24
 TABLES, PROBES, PER_BUCKET = (6, 4, 6), 4, 8  # tables per view (name, place, letters of the name in any order); rows per bucket aimed at
 CALIBRATION_PAIRS = 20_000
 ACCEPT = 0.5
@@ -132,6 +132,7 @@ def walks(nodes: DataFrame, seed: int = 11) -> DataFrame:
 def token_vectors(nodes: DataFrame, buckets: int, seed: int = 11) -> np.ndarray:
     """(buckets, DIMENSIONS) skip-gram vectors; zero rows for unused buckets."""
     sentences = cut(walks(nodes, seed))
+    nodes.sparkSession.sparkContext._jvm.System.gc()  # training keeps the vocabulary on the driver: what the walks left there goes first
     parts = max(1, min(nodes.sparkSession.sparkContext.defaultParallelism, sentences.rdd.getNumPartitions()))
     model = Word2Vec(vectorSize=DIMENSIONS, windowSize=3, minCount=1, maxIter=1, numPartitions=parts, seed=seed, inputCol="walk", outputCol="v").fit(sentences)
     out = np.zeros((buckets, DIMENSIONS), dtype=np.float32)
@@ -342,11 +343,12 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in FIELDS.split(", ")]
     once = rows.groupBy("side", F.hex("node").alias("id"), F.col("node").alias("h")).agg(*[F.first(c).alias(c) for c in names if c not in ("side", "id")])
     token_count = rows.select(F.explode(F.concat("name_tokens", "place_tokens")).alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (4 * token_count).bit_length()))
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (2 * token_count - 1).bit_length()))
     within = lambda c: F.transform(c, lambda t: F.pmod(t, F.lit(buckets)).cast("int")).alias(c)
     nodes = cut(spread(once.select(*[within(c) if c.endswith("_tokens") else F.col(c) for c in names])))
     total = nodes.count()
     vectors, weights = token_vectors(nodes, buckets), token_weights(nodes, buckets, total)
+    nodes.sparkSession.sparkContext._jvm.System.gc()
     bits = min(40, max(6, math.ceil(math.log2(max(1, total / PER_BUCKET)))))
     embedded = cut(embed(nodes, vectors, weights, "o", bits).withColumn("h", F.unhex("id")))
     light = [c for c in compared if c != "side"]
