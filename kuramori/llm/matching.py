@@ -25,7 +25,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.ml.feature import Word2Vec
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +35,8 @@ from kuramori.session import cut, spread
 
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 12, 1 << 18  # of tokens: twice as many as tokens, within these; bounds the vectors' table
 WALKS, STEPS, SLOT, DIMENSIONS = 4, 3, 4, 24
-TABLES, PROBES, PER_BUCKET = (6, 4, 6), 4, 8  # tables per view (name, place, letters of the name in any order); rows per bucket aimed at
+WINDOW, NEGATIVES, RATE, MINIBATCH = 3, 3, 0.05, 8_192
+TABLES, PROBES, PER_BUCKET = (5, 4, 5), 3, 8  # tables per view (name, place, letters of the name in any order); rows per bucket aimed at
 CALIBRATION_PAIRS = 20_000
 ACCEPT = 0.5
 NEAR_M, FAR_M = 250.0, 700.0
@@ -129,15 +129,49 @@ def walks(nodes: DataFrame, seed: int = 11) -> DataFrame:
     return at.select(F.transform("path", lambda t: t.cast("string")).alias("walk"))
 
 
+def _train(walk: np.ndarray, inner: np.ndarray, outer: np.ndarray, rng: np.random.Generator) -> None:
+    """Skip-gram steps with negative sampling over all pairs of a block of walks (rows padded with -1); the vectors are changed in place."""
+    pairs = [np.column_stack([walk[:, :-d].ravel(), walk[:, d:].ravel()]) for d in range(1, min(WINDOW, walk.shape[1] - 1) + 1)]
+    pairs = np.concatenate([*pairs, *[p[:, ::-1] for p in pairs]])
+    pairs = pairs[(pairs >= 0).all(axis=1)]
+    rng.shuffle(pairs)
+    for at in range(0, len(pairs), MINIBATCH):
+        centre, near = pairs[at : at + MINIBATCH].T
+        other = np.column_stack([near, rng.choice(near, (len(near), NEGATIVES))])  # the other ones as often as they occur
+        v, u = inner[centre], outer[other]
+        error = 1 / (1 + np.exp(-np.clip(np.einsum("nd,nkd->nk", v, u), -15, 15)))
+        error[:, 0] -= 1.0
+        for table, tokens, change in ((inner, centre, np.einsum("nk,nkd->nd", error, u)), (outer, other.ravel(), (error[:, :, None] * v[:, None, :]).reshape(-1, v.shape[1]))):
+            once, where, count = np.unique(tokens, return_inverse=True, return_counts=True)
+            total = np.zeros((len(once), v.shape[1]), dtype=np.float32)
+            np.add.at(total, where, change)
+            table[once] -= RATE * total / np.sqrt(count)[:, None]
+
+
 def token_vectors(nodes: DataFrame, buckets: int, seed: int = 11) -> np.ndarray:
-    """(buckets, DIMENSIONS) skip-gram vectors; zero rows for unused buckets."""
-    sentences = cut(walks(nodes, seed))
-    nodes.sparkSession.sparkContext._jvm.System.gc()  # training keeps the vocabulary on the driver: what the walks left there goes first
-    parts = max(1, min(nodes.sparkSession.sparkContext.defaultParallelism, sentences.rdd.getNumPartitions()))
-    model = Word2Vec(vectorSize=DIMENSIONS, windowSize=3, minCount=1, maxIter=1, numPartitions=parts, seed=seed, inputCol="walk", outputCol="v").fit(sentences)
+    """(buckets, DIMENSIONS) skip-gram vectors; zero rows for unused buckets. Every task trains on its share of the walks from the same
+    start, as many tasks as there are partitions; the vectors of a token are averaged by how often each task met it."""
+    names = [f"v{i}" for i in range(DIMENSIONS)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start = np.random.default_rng(seed)
+        inner = (start.random((buckets, DIMENSIONS), dtype=np.float32) - 0.5) / DIMENSIONS
+        outer, met = np.zeros_like(inner), np.zeros(buckets, dtype=np.int64)
+        for pdf in batches:
+            walk = np.full((len(pdf), STEPS + 3), -1, dtype=np.int64)
+            for k, w in enumerate(pdf["walk"]):
+                walk[k, : len(w)] = np.asarray(w, dtype=np.int64)
+            met += np.bincount(walk[walk >= 0], minlength=buckets)
+            _train(walk, inner, outer, start)
+        used = np.flatnonzero(met)
+        out = pd.DataFrame(inner[used] * met[used][:, None], columns=names).astype("float64")
+        yield out.assign(token=used, n=met[used])
+
+    trained = spread(walks(nodes, seed)).mapInPandas(run, ", ".join(f"{c} double" for c in names) + ", token long, n long")
+    mean = trained.groupBy("token").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in names])
     out = np.zeros((buckets, DIMENSIONS), dtype=np.float32)
-    for r in model.getVectors().toLocalIterator():
-        out[int(r["word"])] = r["vector"].toArray()
+    for r in mean.toLocalIterator():  # as many rows as there are buckets in use
+        out[r["token"]] = r[1:]
     return out
 
 
@@ -236,20 +270,30 @@ def pair_score(p: dict) -> float:
     return name * (1.0 if supported else 0.85 if p["o_city"] else 0.75)
 
 
-def candidates(embedded: DataFrame, left: str, right: str) -> DataFrame:
-    """Distinct (m_h, o_h) of the rows that share a bucket and could pass the strict tests: municipality, kind and branch are part of the
-    block key. A row without municipality meets those of all; an unnamed element meets everything in its place bucket."""
-    keyed = embedded.select("side", "h", "city", "strict", F.explode("buckets").alias("b"))
-    placed = F.shiftright("b", 58) == 1
-    kinds = lambda s: F.when(placed & (F.lit(s) == left) & (F.col("strict") != ""), F.array("strict", F.lit(""))).otherwise(F.array("strict"))
-    # "own" meets equal municipalities; an open row asks under "any", where those with a municipality stand, and under "" other open ones
-    cities = lambda s: F.when(F.col("city") != "", F.array("city", F.lit(f"any-{s}"))).otherwise(F.array(F.lit(""), F.lit(f"any-{right if s == left else left}")))
+def _near_enough(df: DataFrame) -> DataFrame:
+    """Pairs whose places (m_x, m_y, o_x, o_y in hundred-thousandths of a degree) don't rule them out; a missing place rules out nothing."""
+    dy, dx = F.abs(F.col("m_y") - F.col("o_y")), F.abs(F.col("m_x") - F.col("o_x"))
+    y = FAR_M / 1.11195 + 2
+    return df.filter(F.coalesce((dy <= y) & (dx <= y / math.cos(math.radians(50)) + 2), F.lit(True))).select("m_h", "o_h")
+
 
-    def rows(s: str, name: str) -> DataFrame:
-        own = keyed.filter(F.col("side") == s).select("h", "b", F.explode(cities(s)).alias("c"), "strict").select("h", "b", "c", F.explode(kinds(s)).alias("kind"))
-        return own.select(F.xxhash64("b", "c", "kind").alias("k"), F.col("h").alias(name))
+def _placed(side: str) -> list[Column]:
+    return [F.col("h").alias(f"{side}_h"), F.round(F.col("lon") * 1e5).cast("int").alias(f"{side}_x"), F.round(F.col("lat") * 1e5).cast("int").alias(f"{side}_y")]
 
-    return rows(left, "m_h").join(rows(right, "o_h"), "k").select("m_h", "o_h").distinct()
+
+def candidates(embedded: DataFrame, left: str, right: str) -> DataFrame:
+    """(m_h, o_h), perhaps repeated, of the rows that share a bucket and could pass the strict tests: municipality, kind and branch are
+    part of the block key. A row without municipality meets those of all; an unnamed element meets everything in its place bucket."""
+    keyed = embedded.select("side", "h", "city", "strict", "lon", "lat", F.explode("buckets").alias("b"))
+    open_left = embedded.filter((F.col("side") == left) & (F.col("city") == "")).limit(1).count() > 0
+    kind_of_left = F.when((F.shiftright("b", 58) == 1) & (F.col("strict") != ""), F.array("strict", F.lit(""))).otherwise(F.array("strict"))
+    # a listing stands under its municipality and under "open", where elements without one ask; one without any stands under "all"
+    city_of_left = F.when(F.col("city") != "", F.array("city", F.lit("open"))).otherwise(F.array(F.lit("all")))
+    city_of_right = F.when(F.col("city") != "", F.col("city")).otherwise(F.lit("open"))
+    a = keyed.filter(F.col("side") == left).withColumn("c", F.explode(city_of_left)).withColumn("kind", F.explode(kind_of_left))
+    b = keyed.filter(F.col("side") == right).withColumn("c", F.explode(F.array(city_of_right, F.lit("all")) if open_left else F.array(city_of_right))).withColumn("kind", F.col("strict"))
+    key = F.xxhash64("b", "c", "kind").alias("k")
+    return _near_enough(a.select(key, *_placed("m")).join(b.select(key, *_placed("o")), "k"))
 
 
 def distance_m() -> Column:
@@ -305,12 +349,12 @@ def strict_candidates(rows: DataFrame, left: str, right: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keys = [[xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in strict_keys(*r)] for r in pdf[columns].itertuples(index=False, name=None)]
-            yield pd.DataFrame({"side": pdf["side"], "h": pdf["h"], "city": pdf["city"], "k": keys})
+            yield pdf[["side", "h", "city", "lon", "lat"]].assign(k=keys)
 
-    keyed = rows.select("h", *columns).mapInPandas(run, "side string, h binary, city string, k array<long>").select("side", "h", "city", F.explode("k").alias("k"))
-    a = keyed.filter(F.col("side") == left).select("k", F.col("h").alias("m_h"), F.col("city").alias("m_c"))
-    b = keyed.filter(F.col("side") == right).select("k", F.col("h").alias("o_h"), F.col("city").alias("o_c"))
-    return a.hint("merge").join(b, "k").filter("m_c = o_c or m_c = '' or o_c = ''").select("m_h", "o_h").distinct()
+    keyed = rows.select("h", *columns).mapInPandas(run, "side string, h long, city string, lon double, lat double, k array<long>").withColumn("k", F.explode("k"))
+    a = keyed.filter(F.col("side") == left).select("k", *_placed("m"), F.col("city").alias("m_c"))
+    b = keyed.filter(F.col("side") == right).select("k", *_placed("o"), F.col("city").alias("o_c"))
+    return _near_enough(a.hint("merge").join(b, "k").filter("m_c = o_c or m_c = '' or o_c = ''")).distinct()
 
 
 def calibrate(cosine: np.ndarray, agree: np.ndarray) -> tuple[float, float]:
@@ -348,9 +392,9 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     nodes = cut(spread(once.select(*[within(c) if c.endswith("_tokens") else F.col(c) for c in names])))
     total = nodes.count()
     vectors, weights = token_vectors(nodes, buckets), token_weights(nodes, buckets, total)
-    nodes.sparkSession.sparkContext._jvm.System.gc()
     bits = min(40, max(6, math.ceil(math.log2(max(1, total / PER_BUCKET)))))
-    embedded = cut(embed(nodes, vectors, weights, "o", bits).withColumn("h", F.unhex("id")))
+    # numbered once and written: a number is a node, without collisions
+    embedded = cut(embed(nodes, vectors, weights, "o", bits).withColumn("h", F.monotonically_increasing_id()))
     light = [c for c in compared if c != "side"]
     side = lambda s, cols: embedded.filter(F.col("side") == s).select(*[F.col(c).alias(f"{s}_{c}") for c in ["h", *cols]])
     strict = cut(strict_candidates(embedded, "m", "o"))
@@ -387,5 +431,5 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     at = unnamed.filter("score >= 0.5")
     beside = unnamed.filter("score < 0.5").join(several(unnamed), "o_h", "left_anti")
     found = found.unionByName(at.join(several(at), "o_h", "left_anti")).unionByName(beside)
-    member = lambda s: rows.filter(F.col("side") == s).select(F.col("node").alias(f"{s}_h"), F.col("id").alias(f"{s}_id"))
+    member = lambda s: rows.filter(F.col("side") == s).select(F.hex("node").alias("id"), F.col("id").alias(f"{s}_id")).join(embedded.filter(F.col("side") == s).select("id", F.col("h").alias(f"{s}_h")), "id").drop("id")
     return found.join(member("m"), "m_h").join(member("o"), "o_h").select("m_id", "o_id", "cosine", "score", "confidence")
