@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kuramori.functions.geometry import EARTH_RADIUS_M, LAT_RANGE, covers, edges_of, haversine_m, parse_polygons
@@ -144,15 +144,17 @@ def to_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
 def nearest_within(few: DataFrame, many: DataFrame, key: str, reach: float, few_xy: tuple[str, str], many_xy: tuple[str, str]) -> DataFrame:
     """Rows of ``many`` nearest to each row of ``few`` within a planar distance; all ties are kept.
 
-    Both sides go into square cells as wide as the reach, ``few`` into its 3 x 3 cells; the nearest is found by a combined minimum per key
-    and a join back to it, not by a sort."""
+    Both sides go into square cells twice as wide as the reach, ``few`` into the (about four) cells its circle can touch. The rows of ``few``
+    repeat by that, which the planner's size estimate doesn't know: the join is by sorting, never by a copy of them in the driver. The pairs are
+    made once; those of the least rank are kept per partition before they are shuffled by key."""
     fx, fy, mx, my = (F.col(c) for c in (*few_xy, *many_xy))
-    cell = lambda v: F.floor(v / reach)
-    around = few.withColumn("_gx", F.explode(F.sequence(cell(fx) - 1, cell(fx) + 1))).withColumn("_gy", F.explode(F.sequence(cell(fy) - 1, cell(fy) + 1)))
+    cell = lambda v: F.floor(v / (2 * reach))
+    around = lambda v: F.explode(F.sequence(cell(v - 1.0001 * reach), cell(v + 1.0001 * reach)))
+    placed = few.withColumn("_gx", around(fx)).withColumn("_gy", around(fy)).hint("merge")
     d2 = (fx - mx) * (fx - mx) + (fy - my) * (fy - my)
-    hits = many.withColumn("_gx", cell(mx)).withColumn("_gy", cell(my)).join(around, ["_gx", "_gy"]).withColumn("_d2", d2).filter(F.col("_d2") <= reach * reach).drop("_gx", "_gy")
-    least = hits.groupBy(key).agg(F.min("_d2").alias("_least"))
-    return hits.join(least, key).filter("_d2 = _least").withColumn("distance", F.sqrt("_d2")).drop("_d2", "_least")
+    hits = many.withColumn("_gx", cell(mx)).withColumn("_gy", cell(my)).join(placed, ["_gx", "_gy"]).withColumn("_d2", d2).filter(F.col("_d2") <= reach * reach).drop("_gx", "_gy")
+    nearest = hits.withColumn("_rank", F.rank().over(Window.partitionBy(key).orderBy("_d2"))).filter("_rank = 1")
+    return nearest.withColumn("distance", F.sqrt("_d2")).drop("_d2", "_rank")
 
 
 def in_box_rings(points: DataFrame, shapes: DataFrame, point_key: str, key: str, rings: str, xy: tuple[str, str] = ("lon", "lat"), cell: float = 0.01) -> DataFrame:
@@ -188,8 +190,6 @@ def lattice_spacing(points: DataFrame, axis: str, decimals: int = 7) -> DataFram
 
     The differences are taken per coarse block with the block's least value carried over, so no global sort lands in one task; the
     quantiles are those of the counts per difference, as many rows as there are different ones."""
-    from pyspark.sql import Window
-
     v = points.select(F.round(axis, decimals).alias("v")).filter("v is not null").distinct().withColumn("b", F.floor(F.col("v") * 100))
     step = lambda a, b: F.round(F.col(a) - b, decimals + 2).alias("d")
     inside = v.select(step("v", F.lag("v").over(Window.partitionBy("b").orderBy("v"))))

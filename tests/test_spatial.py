@@ -74,3 +74,25 @@ def test_footprints_and_nearest(spark):
     a = spark.createDataFrame([(1, 0.0, 0.0)], "k long, ax double, ay double")
     b = spark.createDataFrame([("p", 3.0, 4.0), ("q", -3.0, 4.0), ("r", 20.0, 0.0)], "id string, bx double, by double")
     assert {r.id for r in nearest_within(a, b, "k", 25.0, ("ax", "ay"), ("bx", "by")).collect()} == {"p", "q"}
+
+
+def test_nearest_against_brute_force(spark):
+    rng = random.Random(4)
+    few = [(i % 150, 1.5e7 + 50 * rng.randrange(-3, 4) + rng.choice([0.0, 25.0, rng.uniform(0, 50)]), 4e6 + rng.uniform(-90, 90)) for i in range(200)]
+    many = [(i, 1.5e7 + rng.randrange(-8, 9) * 25.0, 4e6 + rng.choice([-50.0, 0.0, 25.0, rng.uniform(-90, 90)])) for i in range(150)] + [(900, 1.5e7, 4e6)] * 2 + [(901, None, 4e6)]
+    a, b = spark.createDataFrame(few, "k long, ax double, ay double"), spark.createDataFrame(many, "id long, bx double, by double")
+    got = sorted((r.k, r.id, round(r.distance, 6)) for r in nearest_within(a, b, "k", 25.0, ("ax", "ay"), ("bx", "by")).collect())
+    pairs = [(k, i, (p - x) ** 2 + (q - y) ** 2) for k, p, q in few for i, x, y in many if x is not None and (p - x) ** 2 + (q - y) ** 2 <= 625]
+    least = {k: min(d for j, _, d in pairs if j == k) for k in {p[0] for p in pairs}}
+    assert got == sorted((k, i, round(math.sqrt(d), 6)) for k, i, d in pairs if d == least[k]) and len(got) > 100
+
+
+def _joins(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nearest_point_depth_sends_no_repeated_rows_to_the_driver(spark):
+    from kuramori.plans.catalogue import nearest_point_depth
+
+    plan = _joins(nearest_point_depth(spark, "/root/testdata/sf0.001"))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 1
