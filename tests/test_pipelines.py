@@ -131,3 +131,10 @@ def test_levels_roles_and_names(spark):
     assert at(C.address_evidence(F.lit("東瀬都霞浜区1-2"), F.lit("霞浜区"), "東瀬都", F.lit(True), F.lit(None), F.lit(False), F.lit(True), F.lit(False), F.lit(True))) == 130
     with pytest.raises(ValueError):
         C.mapped_class(F.lit("x"), {"a": "b"}, {"c": "d"}, "c")
+
+
+def test_record_depth_classes_sends_no_repeated_rows_to_the_driver(spark):
+    from kuramori.plans.catalogue import record_depth_classes
+
+    plan = record_depth_classes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_gx" in plan and "BroadcastHashJoin [_gx" not in plan
