@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from kuramori.llm.address import Gazetteer, municipality_code, parse, written_town
 from kuramori.llm.names import facility_profile, leave_one_out, leave_out
 from kuramori.llm.uniform import consistent_text
-from kuramori.session import cut, spread
+from kuramori.session import cut, discard, spread
 
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 12, 1 << 18  # of tokens: twice as many as tokens, within these; bounds the vectors' table
 WALKS, STEPS, SLOT, DIMENSIONS = 4, 3, 4, 24
 WINDOW, NEGATIVES, RATE, MINIBATCH = 3, 3, 0.05, 8_192
+TRAINERS = 64  # tasks that train, each with a table of vectors of its own: bounds what their average shuffles
 TABLES, PROBES, PER_BUCKET = (5, 4, 5), 3, 8  # tables per view (name, place, letters of the name in any order); rows per bucket aimed at
 CALIBRATION_PAIRS = 20_000
 ACCEPT = 0.5
@@ -150,7 +151,7 @@ def _train(walk: np.ndarray, inner: np.ndarray, outer: np.ndarray, rng: np.rando
 
 def token_vectors(nodes: DataFrame, buckets: int, seed: int = 11) -> np.ndarray:
     """(buckets, DIMENSIONS) skip-gram vectors; zero rows for unused buckets. Every task trains on its share of the walks from the same
-    start, as many tasks as there are partitions; the vectors of a token are averaged by how often each task met it."""
+    start, as many tasks as there are partitions but at most ``TRAINERS``, as each shuffles a table; the vectors of a token are averaged by how often each task met it."""
     names = [f"v{i}" for i in range(DIMENSIONS)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,11 +165,14 @@ def token_vectors(nodes: DataFrame, buckets: int, seed: int = 11) -> np.ndarray:
             met += np.bincount(walk[walk >= 0], minlength=buckets)
             _train(walk, inner, outer, start)
         used = np.flatnonzero(met)
-        out = pd.DataFrame(inner[used] * met[used][:, None], columns=names).astype("float64")
-        yield out.assign(token=used, n=met[used])
+        yield pd.DataFrame(inner[used], columns=names).assign(token=used.astype("int32"), n=met[used])
 
-    trained = spread(walks(nodes, seed)).mapInPandas(run, ", ".join(f"{c} double" for c in names) + ", token long, n long")
-    mean = trained.groupBy("token").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in names])
+    sentences = walks(nodes, seed)
+    sc = nodes.sparkSession.sparkContext
+    tasks = min(TRAINERS, max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), sc.defaultParallelism))
+    trained = sentences.repartition(tasks).mapInPandas(run, ", ".join(f"{c} float" for c in names) + ", token int, n long")
+    # every task sends its table once, to be averaged: summing before the shuffle has nothing to combine and widens the rows
+    mean = trained.repartition(tasks, "token").groupBy("token").agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in names])
     out = np.zeros((buckets, DIMENSIONS), dtype=np.float32)
     for r in mean.toLocalIterator():  # as many rows as there are buckets in use
         out[r["token"]] = r[1:]
@@ -270,21 +274,45 @@ def pair_score(p: dict) -> float:
     return name * (1.0 if supported else 0.85 if p["o_city"] else 0.75)
 
 
-def _near_enough(df: DataFrame) -> DataFrame:
-    """Pairs whose places (m_x, m_y, o_x, o_y in hundred-thousandths of a degree) don't rule them out; a missing place rules out nothing."""
+def _in_box(metres: float) -> Column:
+    """Whether the places (m_x, m_y, o_x, o_y in hundred-thousandths of a degree) may be that near; null where one is missing."""
     dy, dx = F.abs(F.col("m_y") - F.col("o_y")), F.abs(F.col("m_x") - F.col("o_x"))
-    y = FAR_M / 1.11195 + 2
-    return df.filter(F.coalesce((dy <= y) & (dx <= y / math.cos(math.radians(50)) + 2), F.lit(True))).select("m_h", "o_h")
+    y = metres / 1.11195 + 2
+    return (dy <= y) & (dx <= y / math.cos(math.radians(50)) + 2)
+
+
+def _near_enough(df: DataFrame) -> DataFrame:
+    """Pairs whose places don't rule them out; a missing place rules out nothing."""
+    return df.filter(F.coalesce(_in_box(FAR_M), F.lit(True))).select("m_h", "o_h")
 
 
 def _placed(side: str) -> list[Column]:
     return [F.col("h").alias(f"{side}_h"), F.round(F.col("lon") * 1e5).cast("int").alias(f"{side}_x"), F.round(F.col("lat") * 1e5).cast("int").alias(f"{side}_y")]
 
 
+def signature() -> Column:
+    """The letters of a name as a set of 62 bits, with one more for a short form; 0 for an unnamed row."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(62)).cast("int"))
+    letters = F.aggregate(F.filter(F.split("core", ""), lambda c: c != ""), F.lit(0).cast("long"), lambda t, c: t.bitwiseOR(bit(c)))
+    return F.when(F.col("core") == "", F.lit(0).cast("long")).when(F.col("short"), letters.bitwiseOR(F.lit(1 << 62))).otherwise(letters)
+
+
+def comparable() -> Column:
+    """False only where ``pair_score`` is 0, from signatures (m_s, o_s), hashed numbers (m_n, o_n) and places alone: names that ``same_name``
+    likes lack at most two letters of each other, a short form one of the long name; an unnamed element lies beside or has the same numbers."""
+    lacks = lambda a, b: F.bit_count(F.col(a).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseAND(F.bitwise_not(b)))
+    m, o = lacks("m_s", "o_s"), lacks("o_s", "m_s")
+    m_short, o_short = F.col("m_s") >= F.lit(1 << 62), F.col("o_s") >= F.lit(1 << 62)
+    beside = F.coalesce(_in_box(BESIDE_M), F.lit(False)) | F.coalesce(F.col("m_n") == F.col("o_n"), F.lit(False))
+    return F.when(F.col("o_s") == 0, beside).when(m_short & o_short, F.col("m_s") == F.col("o_s")).when(m_short, m <= 1).when(o_short, o <= 1).otherwise((m <= 2) & (o <= 2))
+
+
 def candidates(embedded: DataFrame, left: str, right: str) -> DataFrame:
     """(m_h, o_h), perhaps repeated, of the rows that share a bucket and could pass the strict tests: municipality, kind and branch are
-    part of the block key. A row without municipality meets those of all; an unnamed element meets everything in its place bucket."""
-    keyed = embedded.select("side", "h", "city", "strict", "lon", "lat", F.explode("buckets").alias("b"))
+    part of the block key. A row without municipality meets those of all; an unnamed element meets everything in its place bucket. A bucket
+    holds more unlike rows the more rows there are: pairs that can't score are dropped in the join, so none of them reaches the disk."""
+    compared = embedded.withColumn("s", signature()).withColumn("n", F.when(F.col("numbers") != "", F.hash("numbers")))
+    keyed = compared.select("side", "h", "city", "strict", "lon", "lat", "s", "n", F.explode("buckets").alias("b"))
     open_left = embedded.filter((F.col("side") == left) & (F.col("city") == "")).limit(1).count() > 0
     kind_of_left = F.when((F.shiftright("b", 58) == 1) & (F.col("strict") != ""), F.array("strict", F.lit(""))).otherwise(F.array("strict"))
     # a listing stands under its municipality and under "open", where elements without one ask; one without any stands under "all"
@@ -293,7 +321,8 @@ def candidates(embedded: DataFrame, left: str, right: str) -> DataFrame:
     a = keyed.filter(F.col("side") == left).withColumn("c", F.explode(city_of_left)).withColumn("kind", F.explode(kind_of_left))
     b = keyed.filter(F.col("side") == right).withColumn("c", F.explode(F.array(city_of_right, F.lit("all")) if open_left else F.array(city_of_right))).withColumn("kind", F.col("strict"))
     key = F.xxhash64("b", "c", "kind").alias("k")
-    return _near_enough(a.select(key, *_placed("m")).join(b.select(key, *_placed("o")), "k"))
+    of = lambda df, s: df.select(key, *_placed(s), F.col("s").alias(f"{s}_s"), F.col("n").alias(f"{s}_n"))
+    return _near_enough(of(a, "m").join(of(b, "o"), "k").filter(comparable()))
 
 
 def distance_m() -> Column:
@@ -392,6 +421,7 @@ def match(listings: DataFrame, elements: DataFrame) -> DataFrame:
     nodes = cut(spread(once.select(*[within(c) if c.endswith("_tokens") else F.col(c) for c in names])))
     total = nodes.count()
     vectors, weights = token_vectors(nodes, buckets), token_weights(nodes, buckets, total)
+    discard(nodes)  # the walks' files
     bits = min(40, max(6, math.ceil(math.log2(max(1, total / PER_BUCKET)))))
     # numbered once and written: a number is a node, without collisions
     embedded = cut(embed(nodes, vectors, weights, "o", bits).withColumn("h", F.monotonically_increasing_id()))

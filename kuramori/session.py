@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -49,6 +50,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(df: DataFrame) -> None:
+    """Have the shuffle and checkpoint files that no DataFrame needs any more deleted now, not when the driver's memory happens to fill."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the parquet tables of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from kuramori.llm import matching
 
@@ -76,3 +77,23 @@ def test_strict_keys_lose_no_acceptable_pair(spark, monkeypatch):
     full = {(r.m_id, r.o_id) for r in matching.match(a, b).collect()}
     monkeypatch.setattr(matching, "candidates", lambda e, *_: e.selectExpr("h as m_h", "h as o_h").limit(0))
     assert {(r.m_id, r.o_id) for r in matching.match(a, b).collect()} == full and full
+
+
+def test_hash_tables_list_no_pair_that_cannot_score(spark):
+    m, o, _ = tables(spark)
+    a, b = features(spark, m, o)
+    rng = np.random.default_rng(5)
+    moved = lambda r: {"lon": 139 + (r.lon - 139) / 20 + rng.uniform(-0.001, 0.001), "lat": 35 + (r.lat - 35) / 20} if r.lon is not None else {}
+    ms, os_ = [r.asDict() | moved(r) for r in a.collect()], [r.asDict() | moved(r) for r in b.filter("not served").collect()]
+    os_ += [r | {"core": "", "strict": ""} for r in os_[:30]] + [r | {"core": r["core"][:3], "short": True} for r in os_[:30]] + [r | {"core": r["core"][1:-1]} for r in os_[:30]]
+    ms += [r | {"core": r["core"][-3:], "short": True} for r in ms[:30]]
+    rows = [r | {"side": s, "h": i, "buckets": [(v << 58) for v in (0, 1)]} for i, (s, r) in enumerate([("m", r) for r in ms] + [("o", r) for r in os_])]
+    embedded = spark.createDataFrame([tuple(r[c] for c in (*a.columns, "h", "buckets")) for r in rows], matching.FIELDS + ", h long, buckets array<long>")
+    got = {(r.m_h, r.o_h) for r in matching.candidates(embedded, "m", "o").collect()}
+    fields = ("city", "strict", "core", "short", "town", "numbers", "lon", "lat")
+    nan = lambda v: float("nan") if v is None else v
+    lefts, rights = ([r for r in rows if r["side"] == s] for s in "mo")
+    score = {(x["h"], y["h"]): matching.pair_score({f"{s}_{c}": nan(r[c]) for s, r in (("m", x), ("o", y)) for c in fields}) for x in lefts for y in rights}
+    accepted = {k for k, v in score.items() if v > 0}
+    assert len(accepted) > 100 and accepted <= got
+    assert len(got) < 6 * len(accepted), (len(got), len(accepted))
