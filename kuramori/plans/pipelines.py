@@ -106,13 +106,15 @@ def disaster_layers(risks: DataFrame, buildings: DataFrame, codelist: DataFrame,
 
 
 def point_hazard(locations: DataFrame, hazard: DataFrame, key: str, value: str, classify_: Column, reach: float = 25.0) -> DataFrame:
-    """(key, value, class) of the worst nearest hazard point of each record's locations; records without one are kept without value."""
+    """(key, value, class) of the worst nearest hazard point of each record's locations; records without one are kept without value.
+
+    The values are as many as the records near a point, so they too are joined by sorting: adaptive execution would else copy them to the driver."""
     x, y = spatial.to_mercator(F.col("x"), F.col("y"))
     hx, hy = spatial.to_mercator(F.col("lon"), F.col("lat"))
     at = locations.filter("located").select(key, x.alias("_x"), y.alias("_y")).distinct().withColumn("_id", F.xxhash64(key, "_x", "_y"))
     hits = spatial.nearest_within(at, hazard.select(hx.alias("_hx"), hy.alias("_hy"), F.col(value).alias("value")), "_id", reach, ("_x", "_y"), ("_hx", "_hy"))
     worst = hits.groupBy(key).agg(F.max("value").alias("value"))
-    return locations.select(key).distinct().join(worst, key, "left").withColumn("class", classify_)
+    return locations.select(key).distinct().join(worst.hint("merge"), key, "left").withColumn("class", classify_)
 
 
 def numeric_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -138,3 +138,12 @@ def test_record_depth_classes_sends_no_repeated_rows_to_the_driver(spark):
 
     plan = record_depth_classes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [_gx" in plan and "BroadcastHashJoin [_gx" not in plan
+
+
+def test_point_hazard_broadcasts_nothing_when_it_runs(spark):
+    at = [(1, 139.0, 35.0, True), (1, 139.1, 35.0, True), (1, 139.1, 35.0, True), (2, 139.2, 35.0, True), (3, 139.0, 35.0, False), (4, None, None, False), (None, 139.0, 35.0, True)]
+    points = [(139.0, 35.0, 0.2), (139.0001, 35.0, 9.0), (139.1, 35.00005, 4.0), (139.1, 35.00005, None), (139.2, 35.001, 1.0)]
+    df = pipelines.point_hazard(spark.createDataFrame(at, "k long, x double, y double, located boolean"), spark.createDataFrame(points, "lon double, lat double, depth double"), "k", "depth", C.depth_class(F.col("value")))
+    assert sorted(((r.k, r.value, r["class"]) for r in df.collect()), key=str) == [(1, 4.0, "3–5 m"), (2, None, "No data"), (3, None, "No data"), (4, None, "No data"), (None, None, "No data")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
